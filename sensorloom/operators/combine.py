@@ -83,8 +83,10 @@ def measure_pairs(
     means: DataFrame,
     ranges: Sequence[StatusRange] = DEFAULT_RANGES,
     keep: Sequence[str] = WINDOW,
+    with_time: bool = False,
 ) -> DataFrame:
-    """One ``pairs`` array per window and measure that has a mean, its three fields as text."""
+    """One ``pairs`` array per window and measure that has a mean, its three fields as text;
+    ``with_time`` adds an array with the last time of the window."""
     coloured = _with_colours(means, ranges)
 
     def fields(r: StatusRange):
@@ -98,7 +100,8 @@ def measure_pairs(
             ),
         )
 
-    lists = F.array_compact(F.array(*[fields(r) for r in ranges]))
+    times = [F.array(pair("time", time_text(F.col("last_time"))))] if with_time else []
+    lists = F.array_compact(F.array(*times, *[fields(r) for r in ranges]))
     return coloured.select(*keep, F.explode(lists).alias("pairs"))
 
 

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.grading import DEFAULT_RANGES, range_of
-from ..functions.records import pair
 from ..functions.scalars import time_text
 from ..operators.alerts import (
     alert_outbox,
@@ -215,12 +214,9 @@ def flatten_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pairs_to_record(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The record of each window from its pairs. The window's last time comes out of the
-    aggregation of the means, where it costs no second scan of the readings."""
-    means = _means(spark, sf_dir)
-    time = pair("time", time_text(F.col("last_time")))
-    times = means.select(*WINDOW, F.array(time).alias("pairs"))
-    bag = explode_pairs(union_all(times, measure_pairs(means)))
+    """The record of each window from its bag of pairs; the window's last time comes out of
+    the aggregation of the means, where it costs no second scan of the readings."""
+    bag = explode_pairs(measure_pairs(_means(spark, sf_dir), with_time=True))
     return combine_pairs(bag).select(*WINDOW, F.explode("record").alias("k", "v"))
 
 

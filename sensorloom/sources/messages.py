@@ -4,26 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.scalars import parse_time, safe_double
-from ..schemas import MEASURES, MESSAGE_SCHEMA, READING_FIELDS
+from ..schemas import MESSAGE_SCHEMA
 
 CORRUPT = "_corrupt"
 
-# Measures are read as text: one number in quotes must not void its whole record.
-_WIRE_READING = T.StructType(
-    [T.StructField(name, T.StringType()) for name in READING_FIELDS]
-    + [T.StructField(CORRUPT, T.StringType())]
-)
-
-_WIRE_ALERT = T.StructType(
-    [
-        T.StructField(name, T.StringType())
-        for name in ("processingTime", "mean", "status", "notification")
-    ]
-    + [T.StructField(CORRUPT, T.StringType())]
-)
+# Fields of the wire formats: numbers are read as numbers first.
+_READING = "id string, time string, motor_power double, pressure double, temperature double"
+_ALERT = "processingTime string, mean double, status string, notification string"
 
 # Sources with a fixed schema of their own; all others hold the message columns.
 _OWN_SCHEMA = ("kafka", "text", "rate")
@@ -79,48 +68,60 @@ def as_messages(df: DataFrame) -> DataFrame:
     )
 
 
-def _decoded(raw: Column, schema: T.StructType) -> tuple[Column, Column]:
-    """The text of a payload and its JSON object; the object is NULL for bytes not UTF-8."""
-    text = raw.cast("string")
+def _parse_once(df: DataFrame, name: str, text: Column, schema: str) -> DataFrame:
+    """Add the JSON object of ``text``. Exploding a list of one keeps the optimizer from
+    copying the parse into every later filter and field."""
     record = F.from_json(
-        F.when(F.is_valid_utf8(text), text),
-        schema,
+        text,
+        f"{schema}, {CORRUPT} string",
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
     )
-    return text, record
+    return df.select("*", F.explode(F.array(record)).alias(name))
+
 
+def _parse(df: DataFrame, raw: Column, schema: str) -> tuple[DataFrame, dict[str, Column]]:
+    """Parse payloads by ``schema``; gives the frame and an expression per field.
 
-def _with_record(df: DataFrame, raw: Column, schema: T.StructType) -> DataFrame:
-    text, record = _decoded(raw, schema)
-    df = df.withColumns({"_text": text, "_record": record})
-    # A payload that is JSON but no object (a list, a bare value) is no record either.
-    broken = (
-        F.col("_record").isNull()
-        | F.col(f"_record.{CORRUPT}").isNotNull()
-        | ~F.ltrim("_text").startswith("{")
+    A payload that is no UTF-8 JSON object keeps its text in ``_corrupt`` and has NULL fields.
+    The rare record that does not fit the schema is parsed again with all fields as text, so
+    that one number in quotes does not void the record.
+    """
+    fields = dict(field.split() for field in schema.split(", "))
+    text, strict, lenient = F.col("_text"), F.col("_strict"), F.col("_lenient")
+    is_object = text.startswith("{") | F.ltrim(text, F.lit(" \t\r\n")).startswith("{")
+    df = df.withColumn("_text", raw.cast("string"))
+    df = _parse_once(df, "_strict", F.when(F.is_valid_utf8(text) & is_object, text), schema)
+    retry = F.when(strict[CORRUPT].isNotNull(), text)
+    df = _parse_once(df, "_lenient", retry, schema.replace("double", "string"))
+    broken = strict.isNull() | lenient[CORRUPT].isNotNull()
+    df = df.withColumn(
+        CORRUPT, F.when(broken, F.coalesce(F.make_valid_utf8(text), F.lit("")))
     )
-    return df.withColumn(CORRUPT, F.when(broken, F.make_valid_utf8(F.col("_text"))))
+
+    def field(name: str, kind: str) -> Column:
+        second = lenient[name] if kind == "string" else safe_double(lenient[name])
+        return F.when(strict[CORRUPT].isNull(), strict[name]).otherwise(
+            F.when(lenient[CORRUPT].isNull(), second)
+        )
+
+    return df, {name: field(name, kind) for name, kind in fields.items()}
 
 
 def parse_messages(messages: DataFrame, event_time: str = "time") -> DataFrame:
     """JSON payloads to typed readings.
 
     ``event_time`` names what the windows follow: ``time``, the text inside the payload, or
-    ``publish_time``, the broker's own. A payload that is no JSON object keeps its text in
-    ``_corrupt`` and has NULL everywhere else; ``good_readings`` / ``bad_readings`` split them.
+    ``publish_time``, the broker's own. ``good_readings`` and ``bad_readings`` split the result.
     """
     if event_time not in ("time", "publish_time"):
         raise ValueError("event_time is 'time' or 'publish_time'")
-    parsed = _with_record(messages, F.col("data"), _WIRE_READING)
-    sound = F.col(CORRUPT).isNull()
-
-    def field(name: str) -> Column:
-        return F.when(sound, F.col(f"_record.{name}"))
-
-    columns = [field("id").alias("id"), field("time").alias("time")]
-    columns += [safe_double(field(m)).alias(m) for m in ("motor_power", "pressure", "temperature")]
-    moment = parse_time(field("time")) if event_time == "time" else F.col("publish_time")
-    return parsed.select(*columns, moment.alias("event_time"), F.col(CORRUPT))
+    parsed, fields = _parse(messages, F.col("data"), _READING)
+    moment = parse_time(fields["time"]) if event_time == "time" else F.col("publish_time")
+    return parsed.select(
+        *[column.alias(name) for name, column in fields.items()],
+        moment.alias("event_time"),
+        CORRUPT,
+    )
 
 
 def good_readings(parsed: DataFrame) -> DataFrame:
@@ -134,36 +135,18 @@ def bad_readings(parsed: DataFrame) -> DataFrame:
 def parse_alerts(alerts: DataFrame, payload: str = "value") -> DataFrame:
     """JSON alert payloads back to columns; the other columns of the frame are kept."""
     others = [c for c in alerts.columns if c != payload]
-    parsed = _with_record(alerts, F.col(payload), _WIRE_ALERT)
+    parsed, fields = _parse(alerts, F.col(payload), _ALERT)
     return parsed.select(
-        *others,
-        F.col("_record.processingTime").alias("processingTime"),
-        safe_double(F.col("_record.mean")).alias("mean"),
-        F.col("_record.status").alias("status"),
-        F.col("_record.notification").alias("notification"),
-        F.col(CORRUPT),
+        *others, *[column.alias(name) for name, column in fields.items()], CORRUPT
     )
 
 
 def decode_envelope(events: DataFrame, payload: str = "data") -> DataFrame:
     """Trigger events, whose payload is base64 text, to alert columns."""
     raw = F.try_to_binary(F.col(payload), F.lit("base64"))
-    others = [c for c in events.columns if c != payload]
-    decoded = events.select(*others, raw.alias("_payload"), F.col(payload).alias("_envelope"))
+    decoded = events.withColumns({"_payload": raw, "_envelope": F.col(payload)}).drop(payload)
     parsed = parse_alerts(decoded, "_payload")
     # Text that is no base64 has no payload to show; keep the envelope itself.
-    broken = F.coalesce(F.col(CORRUPT), F.when(F.col("status").isNull(), F.col("_envelope")))
-    return parsed.withColumn(CORRUPT, broken).drop("_envelope")
-
-
-__all__ = [
-    "CORRUPT",
-    "MEASURES",
-    "as_messages",
-    "bad_readings",
-    "decode_envelope",
-    "good_readings",
-    "parse_alerts",
-    "parse_messages",
-    "read_messages",
-]
+    undecoded = (F.col(CORRUPT) == "") & F.col("_envelope").isNotNull()
+    shown = F.when(undecoded, F.col("_envelope")).otherwise(F.col(CORRUPT))
+    return parsed.withColumn(CORRUPT, shown).drop("_envelope")

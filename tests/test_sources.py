@@ -1,0 +1,233 @@
+import base64
+import json
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from sensorloom.operators.alerts import encode_alerts, encode_readings
+from sensorloom.operators.windows import window_means
+from sensorloom.schemas import ARCHIVE_SCHEMA, READING_FIELDS, load_schema, schema_from_declaration
+from sensorloom.sources.history import HISTORY_COLUMNS, read_readings_csv, shape_readings
+from sensorloom.sources.messages import (
+    as_messages,
+    bad_readings,
+    decode_envelope,
+    good_readings,
+    parse_alerts,
+    parse_messages,
+    read_messages,
+)
+
+
+def payload(**fields):
+    base = {
+        "id": "a",
+        "time": "2024-03-01 10:00:00.5",
+        "motor_power": 12.0,
+        "pressure": 61.5,
+        "temperature": 45.0,
+    }
+    return json.dumps({**base, **fields}).encode()
+
+
+def messages(spark, *payloads):
+    return spark.createDataFrame([(bytearray(p),) for p in payloads], "data binary")
+
+
+def parsed(spark, *payloads):
+    return parse_messages(messages(spark, *payloads)).collect()
+
+
+def test_good_reading(spark):
+    (row,) = parsed(spark, payload())
+    assert (row.id, row.time) == ("a", "2024-03-01 10:00:00.5")
+    assert (row.motor_power, row.pressure, row.temperature) == (12.0, 61.5, 45.0)
+    assert row._corrupt is None and row.event_time is not None
+
+
+@pytest.mark.parametrize(
+    "given,expected",
+    [
+        ("45.25", 45.25),
+        (" 45.25 ", 45.25),
+        (7, 7.0),
+        (1e-7, 1e-7),
+        (None, None),
+        ("warm", None),
+        (True, None),
+        ([1], None),
+        ({"x": 1}, None),
+        (float("inf"), math.inf),
+        (float("-inf"), -math.inf),
+    ],
+)
+def test_measure_forms(spark, given, expected):
+    (row,) = parsed(spark, payload(temperature=given))
+    assert row.temperature == expected
+    assert (row.id, row.pressure, row.motor_power, row._corrupt) == ("a", 61.5, 12.0, None)
+
+
+@pytest.mark.parametrize("given", [float("nan"), "NaN", "nan"])
+def test_nan_forms(spark, given):
+    (row,) = parsed(spark, payload(temperature=given, pressure="61.5"))
+    assert math.isnan(row.temperature) and row.pressure == 61.5
+
+
+def test_missing_measure_and_other_fields(spark):
+    (row,) = parsed(spark, b'{"id": 5, "time": "2024-03-01 10:00:00", "pressure": 1, "more": [1]}')
+    assert (row.id, row.pressure, row.temperature, row._corrupt) == ("5", 1.0, None, None)
+
+
+@pytest.mark.parametrize(
+    "bad",
+    [b'{"id": "a", ', b"not json", b"", b"5", b'"text"', b"null", b'[{"id": "a"}]', b'{"a": \xff}'],
+)
+def test_no_json_object(spark, bad):
+    df = parse_messages(messages(spark, bad, payload()))
+    (row,) = bad_readings(df).collect()
+    assert row._corrupt == bad.decode("utf-8", errors="replace")
+    broken = df.filter(F.col("_corrupt").isNotNull()).first()
+    assert not any(broken[c] for c in (*READING_FIELDS, "event_time"))
+    assert [r.id for r in good_readings(df).collect()] == ["a"]
+
+
+def test_leading_space_is_json(spark):
+    (row,) = parsed(spark, b" \n\t" + payload())
+    assert row.id == "a" and row._corrupt is None
+
+
+@pytest.mark.parametrize(
+    "text,expected",
+    [
+        ("2024-03-01 10:00:00", "2024-03-01 10:00:00.000000"),
+        ("2024-03-01 10:00:00.000001", "2024-03-01 10:00:00.000001"),
+        ("yesterday", None),
+        ("2024", None),
+        ("10:00:00.000001", None),
+        ("2024-13-01 10:00:00", None),
+        (None, None),
+    ],
+)
+def test_time_forms(spark, text, expected):
+    df = parse_messages(messages(spark, payload(time=text)))
+    row = df.select(F.date_format("event_time", "yyyy-MM-dd HH:mm:ss.SSSSSS"), "time").first()
+    assert (row[0], row[1]) == (expected, text)
+
+
+def test_event_time_of_the_broker(spark):
+    df = messages(spark, payload(time="nonsense")).withColumn(
+        "publish_time", F.lit("2024-03-01 11:30:10").cast("timestamp")
+    )
+    windows = window_means(good_readings(parse_messages(df, "publish_time")))
+    assert windows.select(F.date_format("window_start", "HH:mm")).first()[0] == "11:30"
+    with pytest.raises(ValueError):
+        parse_messages(df, "arrival")
+
+
+def test_broker_columns(spark):
+    df = spark.createDataFrame(
+        [(bytearray(b"{}"), [("a", bytearray(b"1")), ("a", bytearray(b"2"))])],
+        "value binary, headers array<struct<key: string, value: binary>>",
+    ).withColumn("timestamp", F.current_timestamp())
+    row = as_messages(df).first()
+    assert row.data == b"{}" and row.attributes == {"a": "2"} and row.publish_time
+
+
+def test_read_messages_from_text(spark, tmp_path):
+    (tmp_path / "m.txt").write_bytes(payload() + b"\n" + payload(id="b") + b"\n")
+    df = good_readings(parse_messages(read_messages(spark, "text", str(tmp_path))))
+    assert sorted(r.id for r in df.collect()) == ["a", "b"]
+
+
+def test_round_trip(make_readings):
+    rows = make_readings(("a", "10:00:00.000001", 45.1, None, float("nan")))
+    sent = encode_readings(rows)
+    record = json.loads(sent.first().value.decode())
+    assert list(record) == ["id", "time", "motor_power", "pressure", "temperature"]
+    assert record["pressure"] is None and record["temperature"] == 45.1
+    back = parse_messages(sent.withColumnRenamed("value", "data")).first()
+    assert (back.id, back.temperature, back.pressure) == ("a", 45.1, None)
+    assert math.isnan(back.motor_power)
+
+
+def test_envelope(spark):
+    alert = {"processingTime": "t", "mean": 48.5, "status": "temp_red", "notification": "n"}
+    good = base64.b64encode(json.dumps(alert).encode()).decode()
+    bad_json = base64.b64encode(b"{").decode()
+    df = spark.createDataFrame([("1", good), ("2", "%%%"), ("3", bad_json)], "k string, data string")
+    rows = {r.k: r for r in decode_envelope(df).collect()}
+    assert {f: rows["1"][f] for f in alert} == alert and rows["1"]._corrupt is None
+    assert rows["2"]._corrupt == "%%%" and rows["2"].status is None
+    assert rows["3"]._corrupt == "{"
+
+
+def test_alert_payload(spark):
+    df = spark.createDataFrame(
+        [("t", 45.5, "temp_green", "ok")],
+        "processingTime string, mean double, status string, notification string",
+    )
+    sent = encode_alerts(df)
+    assert sent.columns == ["value"]
+    assert list(json.loads(sent.first().value.decode())) == df.columns
+    assert parse_alerts(sent).drop("_corrupt").first() == df.first()
+
+
+def history_file(tmp_path):
+    # Column order unlike ours, columns not asked for, an empty cell and a text cell.
+    (tmp_path / "h.csv").write_text(
+        "Fecha,Tª SW,other,P abs SW mb,Par agitador\n"
+        "d1,45.5,x,60.25,12\n"
+        "d2,,y,61,high\n",
+        encoding="utf-8",
+    )
+    return str(tmp_path / "h.csv")
+
+
+def test_csv_history(spark, tmp_path):
+    df = read_readings_csv(spark, history_file(tmp_path))
+    assert df.columns == list(HISTORY_COLUMNS.values())
+    first, second = df.collect()
+    assert tuple(first) == (12.0, 60.25, 45.5)
+    assert second[0] is None and second[1] == 61.0 and math.isnan(second[2])
+    plain = read_readings_csv(spark, history_file(tmp_path), empty_as_nan=False)
+    assert plain.collect()[1][2] is None
+
+
+def test_shaped_history(spark, tmp_path):
+    df = shape_readings(read_readings_csv(spark, history_file(tmp_path)))
+    assert df.columns == list(READING_FIELDS)
+    rows = df.collect()
+    assert len({r.id for r in rows}) == 2 and all(len(r.id) == 36 for r in rows)
+    assert all(len(r.time) == 26 for r in rows)
+    back = good_readings(parse_messages(encode_readings(df).withColumnRenamed("value", "data")))
+    assert back.filter(F.col("event_time").isNotNull()).count() == 2
+
+
+def test_declared_schema(tmp_path):
+    fields = [
+        {"mode": "NULLABLE", "name": f.name, "type": "STRING" if i < 2 else "NUMERIC"}
+        for i, f in enumerate(ARCHIVE_SCHEMA)
+    ]
+    path = tmp_path / "schema.json"
+    path.write_text(json.dumps({"fields": fields}))
+    assert load_schema(path) == ARCHIVE_SCHEMA
+
+
+def test_declared_schema_modes_and_errors():
+    schema = schema_from_declaration(
+        {
+            "fields": [
+                {"name": "a", "type": "INTEGER", "mode": "REQUIRED"},
+                {"name": "b", "type": "FLOAT", "mode": "REPEATED"},
+                {"name": "c", "type": "RECORD", "fields": [{"name": "d", "type": "BOOL"}]},
+            ]
+        }
+    )
+    assert schema.simpleString() == "struct<a:bigint,b:array<double>,c:struct<d:boolean>>"
+    assert not schema["a"].nullable
+    field = {"name": "m_status", "type": "STRING"}
+    with pytest.raises(ValueError, match="twice"):
+        schema_from_declaration({"fields": [field, field]})
+    with pytest.raises(ValueError, match="unknown type"):
+        schema_from_declaration({"fields": [{"name": "x", "type": "SHAPE"}]})
