@@ -117,12 +117,11 @@ def combine_pairs(
 ) -> DataFrame:
     """All pairs of a group as one map ``record``; of a repeated key the later value wins.
 
-    Later is the greater ``order``, then the greater value, so the result does not depend on
-    how rows arrive. Values are reduced per key before any list is built: the list of a group
+    Later is the greater ``order``, then the greater value, so that the result does not depend
+    on how rows arrive. Values are reduced per key before any list is built: the list of a group
     is as long as its record has fields, however many pairs the group holds.
     """
-    rank = [F.col(order), F.col("v")] if order else [F.col("v")]
-    latest = F.max(F.struct(*rank))["v"]
+    latest = F.max(F.struct(order, "v"))["v"] if order else F.max("v")
     return (
         pairs.groupBy(*keys, "k")
         .agg(latest.alias("v"))

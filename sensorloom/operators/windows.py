@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import MEASURES
@@ -17,12 +17,22 @@ WINDOW_LENGTH = "1 minute"
 WINDOW = ("window_start", "window_end")
 
 
-def _flat(df: DataFrame, *columns: str) -> DataFrame:
-    return df.select(
-        F.col("window.start").alias("window_start"),
-        F.col("window.end").alias("window_end"),
-        *columns,
-    )
+def _per_window(
+    readings: DataFrame, length: str, event_time: str, delay: str | None, *aggregates: Column
+) -> DataFrame:
+    """One row per window with its bounds and the aggregates."""
+    window = F.window(event_time, length)
+    if readings.isStreaming:
+        # The watermark closes windows only if the whole window is the grouping key.
+        if delay is not None:
+            readings = readings.withWatermark(event_time, delay)
+        return readings.groupBy(window).agg(*aggregates).withColumns(
+            {"window_start": F.col("window.start"), "window_end": F.col("window.end")}
+        )
+    # Plain timestamps sort by prefix, a struct does not: that counts wherever an aggregate
+    # of texts, or one that has run out of memory, falls back to sorting.
+    bounds = (window["start"].alias("window_start"), window["end"].alias("window_end"))
+    return readings.groupBy(*bounds).agg(*aggregates)
 
 
 def assign_windows(
@@ -63,19 +73,18 @@ def window_means(
     ``delay`` sets the watermark of a stream and does nothing to a table. ``places`` rounds the
     means, which makes them independent of the order of summation.
     """
-    if delay is not None:
-        readings = readings.withWatermark(event_time, delay)
 
-    def mean(measure: str):
+    def mean(measure: str) -> Column:
         value = F.avg(measure)
         return (value if places is None else F.round(value, places)).alias(measure)
 
-    grouped = readings.groupBy(F.window(event_time, length)).agg(
+    aggregates = (
         *[mean(m) for m in measures],
         F.count(F.lit(1)).alias("n"),
         F.max(reported_time or event_time).alias("last_time"),
     )
-    return _flat(grouped, *measures, "n", "last_time")
+    means = _per_window(readings, length, event_time, delay, *aggregates)
+    return means.select(*WINDOW, *measures, "n", "last_time")
 
 
 def window_mean(
@@ -98,10 +107,8 @@ def tumbling_counts(
     event_time: str = "event_time",
     delay: str | None = None,
 ) -> DataFrame:
-    if delay is not None:
-        readings = readings.withWatermark(event_time, delay)
-    counts = readings.groupBy(F.window(event_time, length)).agg(F.count(F.lit(1)).alias("n"))
-    return _flat(counts, "n")
+    count = F.count(F.lit(1)).alias("n")
+    return _per_window(readings, length, event_time, delay, count).select(*WINDOW, "n")
 
 
 def first_reading_per_window(
@@ -112,8 +119,5 @@ def first_reading_per_window(
     delay: str | None = None,
 ) -> DataFrame:
     """The earliest ``value`` of each window; the smallest one where two share the instant."""
-    if delay is not None:
-        readings = readings.withWatermark(event_time, delay)
-    earliest = F.min(F.struct(F.col(event_time), F.col(value)))[value]
-    first = readings.groupBy(F.window(event_time, length)).agg(earliest.alias(value))
-    return _flat(first, value)
+    earliest = F.min(F.struct(F.col(event_time), F.col(value)))[value].alias(value)
+    return _per_window(readings, length, event_time, delay, earliest).select(*WINDOW, value)

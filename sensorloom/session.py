@@ -18,6 +18,7 @@ def local_session(cpus: int | str = "*", app: str = "sensorloom") -> SparkSessio
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffles))
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
         .getOrCreate()
     )
 
