@@ -33,6 +33,11 @@ class StatusRange:
     green: tuple[float, float]
     yellow: tuple[float, float]
 
+    @property
+    def nested_key(self) -> str:
+        """Name of the measure in the nested record: its noun as one word."""
+        return self.noun.replace(" ", "")
+
     def colour(self, value: Column) -> Column:
         """Colour of a value. NaN is red; callers leave NULL out before grading."""
         return (

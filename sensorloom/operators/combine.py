@@ -76,7 +76,7 @@ def nested_alert(
             r.notification(colour).alias("notification"),
         )
 
-    return coloured.select(*keep, *[block(r).alias(r.measure) for r in ranges])
+    return coloured.select(*keep, *[block(r).alias(r.nested_key) for r in ranges])
 
 
 def measure_pairs(

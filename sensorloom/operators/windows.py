@@ -29,10 +29,10 @@ def _per_window(
         return readings.groupBy(window).agg(*aggregates).withColumns(
             {"window_start": F.col("window.start"), "window_end": F.col("window.end")}
         )
-    # Plain timestamps sort by prefix, a struct does not: that counts wherever an aggregate
+    # A plain timestamp sorts by prefix, a struct does not: that counts wherever an aggregate
     # of texts, or one that has run out of memory, falls back to sorting.
-    bounds = (window["start"].alias("window_start"), window["end"].alias("window_end"))
-    return readings.groupBy(*bounds).agg(*aggregates)
+    rows = readings.groupBy(window["start"].alias("window_start")).agg(*aggregates)
+    return rows.withColumn("window_end", F.col("window_start") + F.lit(length).cast("interval"))
 
 
 def assign_windows(

@@ -6,12 +6,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.grading import DEFAULT_RANGES, StatusRange
-from ..operators.alerts import alert_outbox, encode_alerts, stamp, window_alerts
-from ..operators.combine import window_summary
+from ..operators.alerts import alert_outbox, encode_alerts, encode_records, stamp, window_alerts
+from ..operators.combine import nested_alert, window_summary
 from ..operators.windows import WINDOW, WINDOW_LENGTH, window_means
 from ..schemas import ARCHIVE_SCHEMA, SUMMARY_SCHEMA
 from ..session import ensure_checkpoint_dir
@@ -22,13 +21,15 @@ from ..sources.messages import bad_readings, good_readings, parse_messages
 
 @dataclass(frozen=True)
 class Settings:
-    """What is computed."""
+    """What is computed. ``merged`` is the form of the one message per window: ``nested``, an
+    object per measure, or ``flat``, the fields of the summary."""
 
     ranges: tuple[StatusRange, ...] = DEFAULT_RANGES
     length: str = WINDOW_LENGTH
     delay: str = "0 seconds"
     event_time: str = "time"
     places: int | None = None
+    merged: str = "nested"
     archive_schema: T.StructType = ARCHIVE_SCHEMA
     summary_schema: T.StructType = SUMMARY_SCHEMA
 
@@ -39,13 +40,14 @@ class Sinks:
 
     archive: Sink | None = None
     alerts: Sink | None = None
+    merged: Sink | None = None
     summary: Sink | None = None
     outbox: Sink | None = None
     metrics: Sink | None = None
     rejects: Sink | None = None
 
     def windowed(self) -> bool:
-        return any((self.alerts, self.summary, self.outbox, self.metrics))
+        return any((self.alerts, self.merged, self.summary, self.outbox, self.metrics))
 
 
 def archive_rows(parsed: DataFrame, settings: Settings, sink: Sink) -> DataFrame:
@@ -66,6 +68,14 @@ def stamped_means(parsed: DataFrame, settings: Settings, watermark: bool) -> Dat
     return stamp(means)
 
 
+def merged_messages(means: DataFrame, settings: Settings) -> DataFrame:
+    """All measures of a window in one payload, in place of one payload per measure."""
+    if settings.merged == "flat":
+        return encode_records(window_summary(means, settings.ranges, keep=()), ["*"])
+    record = nested_alert(means, settings.ranges, keep=["processingTime"])
+    return encode_records(record, ["*"])
+
+
 def window_outputs(
     means: DataFrame, settings: Settings, sinks: Sinks
 ) -> Iterator[tuple[Sink, DataFrame]]:
@@ -73,6 +83,8 @@ def window_outputs(
     alerts = window_alerts(means, settings.ranges, keep=(*WINDOW, "processingTime"))
     if sinks.alerts:
         yield sinks.alerts, encode_alerts(alerts)
+    if sinks.merged:
+        yield sinks.merged, merged_messages(means, settings)
     if sinks.summary:
         yield sinks.summary, conform(
             window_summary(means, settings.ranges, keep=()), settings.summary_schema

@@ -138,8 +138,8 @@ def parse_messages_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def encode_readings_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each payload beside its reading's id, shown by its fields."""
     sent = encode_readings(readings_from_events(spark, sf_dir), keep=["id"])
-    fields = F.from_json(F.col("value").cast("string"), "time string, temperature double, "
-                         "pressure double, motor_power double")
+    schema = "time string, temperature double, pressure double, motor_power double"
+    fields = F.from_json(F.col("value").cast("string"), schema)
     return sent.select("id", fields.alias("r")).select("id", "r.*")
 
 
@@ -184,7 +184,7 @@ def nested_alert_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nested.select(
         *WINDOW,
         *[
-            F.col(f"{r.measure}.{leaf}").alias(f"{r.measure}_{leaf}")
+            F.col(f"{r.nested_key}.{leaf}").alias(f"{r.measure}_{leaf}")
             for r in DEFAULT_RANGES
             for leaf in ("mean", "status", "notification")
         ],
@@ -193,16 +193,20 @@ def nested_alert_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def encode_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One merged payload per window, shown by the leaves read back from its text."""
-    measures = [r.measure for r in DEFAULT_RANGES]
     nested = stamp(nested_alert(_means(spark, sf_dir)), F.col("window_end"))
-    sent = encode_records(nested, ["processingTime", *measures], keep=WINDOW)
+    keys = [r.nested_key for r in DEFAULT_RANGES]
+    sent = encode_records(nested, ["processingTime", *keys], keep=WINDOW)
     block = "struct<mean: double, status: string, notification: string>"
-    schema = "processingTime string, " + ", ".join(f"{m} {block}" for m in measures)
+    schema = "processingTime string, " + ", ".join(f"{key} {block}" for key in keys)
     read = sent.select(*WINDOW, F.from_json(F.col("value").cast("string"), schema).alias("r"))
     return read.select(
         *WINDOW,
         F.col("r.processingTime").alias("processingTime"),
-        *[F.col(f"r.{m}.{leaf}").alias(f"{m}_{leaf}") for m in measures for leaf in ("mean", "status")],
+        *[
+            F.col(f"r.{r.nested_key}.{leaf}").alias(f"{r.measure}_{leaf}")
+            for r in DEFAULT_RANGES
+            for leaf in ("mean", "status")
+        ],
     )
 
 

@@ -12,6 +12,7 @@ from ..sinks.metrics import observe_parsed
 from ..sources.messages import bad_readings, parse_messages
 
 EVERY_TEN_SECONDS = {"processingTime": "10 seconds"}
+WINDOWS_PER_FILE = 500_000
 
 
 def checkpoint_root(messages: DataFrame, given: str | None) -> str:
@@ -66,8 +67,11 @@ def _write_windows(sinks: Sinks, settings: Settings):
         query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         batch.persist()
         try:
-            if not batch.isEmpty():
-                for sink, rows in window_outputs(batch, settings, sinks):
+            windows = batch.count()
+            if windows:
+                # A batch mostly closes few windows, spread over all state partitions.
+                compact = batch.coalesce(1 + windows // WINDOWS_PER_FILE)
+                for sink, rows in window_outputs(compact, settings, sinks):
                     sink.put_batch(rows, query_id, batch_id)
         finally:
             batch.unpersist()

@@ -15,7 +15,7 @@ from sensorloom.sinks.tables import Sink
 from sensorloom.sources.messages import read_messages
 from sensorloom.streaming.job import run_to_end, start_job
 
-OUTPUTS = ("archive", "alerts", "summary", "outbox", "metrics", "rejects")
+OUTPUTS = ("archive", "alerts", "merged", "summary", "outbox", "metrics", "rejects")
 
 
 def key_value(text: str) -> tuple[str, str]:
@@ -43,6 +43,7 @@ def arguments(argv: Sequence[str] | None = None) -> tuple[argparse.Namespace, li
     parser.add_argument("--window", default="1 minute")
     parser.add_argument("--delay", default="0 seconds")
     parser.add_argument("--event-time", choices=("time", "publish_time"), default="time")
+    parser.add_argument("--merged", choices=("nested", "flat"), default="nested")
     parser.add_argument("--checkpoint")
     parser.add_argument("--trigger", default="10 seconds", help="an interval, or 'available-now'")
     parser.add_argument("--batch", action="store_true", help="read the source once, as a table")
@@ -70,6 +71,7 @@ def settings_of(args: argparse.Namespace) -> Settings:
         length=args.window,
         delay=args.delay,
         event_time=args.event_time,
+        merged=args.merged,
         archive_schema=load_schema(args.archive_schema) if args.archive_schema else ARCHIVE_SCHEMA,
         summary_schema=load_schema(args.summary_schema) if args.summary_schema else SUMMARY_SCHEMA,
     )

@@ -5,23 +5,31 @@ import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from sensorloom.operators.alerts import encode_readings, window_alerts
+from sensorloom.operators.alerts import alert_outbox, encode_readings, stamp, window_alerts
 from sensorloom.operators.combine import window_summary
 from sensorloom.operators.joins import cogroup_measures
 from sensorloom.operators.windows import first_reading_per_window, tumbling_counts, window_means
 from sensorloom.plans.event_readings import readings_from_events
-from sensorloom.plans.job import Settings, Sinks, run_batch
+from sensorloom.plans.job import Settings, Sinks, merged_messages, run_batch
+from sensorloom.plans.publish import publish_history
 from sensorloom.plans.views import dashboard_series
 from sensorloom.schemas import ARCHIVE_SCHEMA, READING_FIELDS, SUMMARY_SCHEMA
 from sensorloom.session import ensure_checkpoint_dir
 from sensorloom.sinks.metrics import observe_parsed, observed
 from sensorloom.sinks.tables import Sink, conform, print_rows
-from sensorloom.sources.messages import parse_alerts, parse_messages, read_messages
+from sensorloom.sources.history import read_readings_csv
+from sensorloom.sources.messages import (
+    as_messages,
+    decode_envelope,
+    parse_alerts,
+    parse_messages,
+    read_messages,
+)
 from sensorloom.streaming.job import checkpoint_root, run_to_end, start_job
 from sensorloom.streaming.submit import arguments, main, settings_of, sink_of
 
 DRAIN = {"availableNow": True}
-OUTPUTS = ("archive", "alerts", "summary", "outbox", "metrics", "rejects")
+OUTPUTS = ("archive", "alerts", "merged", "summary", "outbox", "metrics", "rejects")
 EXACT = Settings(places=6)
 
 
@@ -80,6 +88,12 @@ def test_batch_job(spark, day, tmp_path):
     assert bag(read(spark, tmp_path, "summary")) == bag(
         conform(window_summary(means), SUMMARY_SCHEMA)
     )
+    merged = [json.loads(r.value.decode()) for r in read(spark, tmp_path, "merged").collect()]
+    assert len(merged) == means.count()
+    assert list(merged[0]) == ["processingTime", "temperature", "pressure", "motorpower"]
+    assert sorted(m["motorpower"]["status"] for m in merged) == sorted(
+        r.status for r in expected.filter("measure = 'motor_power'").collect()
+    )
     assert read(spark, tmp_path, "outbox").count() == expected.filter("colour <> 'green'").count()
     assert bag(read(spark, tmp_path, "metrics")) == bag(
         expected.groupBy("measure", "colour").agg(F.count("*").alias("n"))
@@ -90,6 +104,57 @@ def test_batch_job(spark, day, tmp_path):
                                            "motor_power"))
 
 
+def test_flat_merged_message(spark, make_readings):
+    means = stamp(window_means(make_readings(("a", "10:00:01", 45, None, 16))))
+    sent = merged_messages(means, Settings(merged="flat")).collect()
+    assert [json.loads(r.value.decode()) for r in sent] == [
+        {
+            "time": "2024-03-01 10:00:01.000000",
+            "temp_mean": 45.0,
+            "pressure_mean": None,
+            "m_mean": 16.0,
+            "temp_status": "green",
+            "pressure_status": None,
+            "m_status": "red",
+            "temp_notification": "The temperature is in the optimum range.",
+            "pressure_notification": None,
+            "m_notification": "Error! Machine is not working properly, the motor power is way out "
+            "of the optimum range. Help is needed.",
+        }
+    ]
+
+
+def test_published_history_reaches_the_archive(spark, tmp_path):
+    (tmp_path / "h.csv").write_text(
+        "Par agitador,P abs SW mb,Tª SW\n12,60.5,45\n13,61,46\n", encoding="utf-8"
+    )
+    history = read_readings_csv(spark, str(tmp_path / "h.csv"))
+    publish_history(history, Sink(path=str(tmp_path / "topic")))
+    messages = as_messages(spark.read.parquet(str(tmp_path / "topic")))
+    run_batch(messages, sinks_in(tmp_path))
+    rows = read(spark, tmp_path, "archive").select("motor_power", "pressure", "temperature")
+    assert sorted(tuple(map(float, r)) for r in rows.collect()) == [(12, 60.5, 45), (13, 61, 46)]
+    assert len(alerts_of(spark, tmp_path)) == 3
+
+
+def test_outbox_follows_the_alert_messages(spark, make_readings, tmp_path):
+    """The alert messages of one job, in envelopes, are the input of the outbox stream."""
+    send(make_readings(("a", "10:00:01", 45, 59, 16)), tmp_path / "in")
+    run_batch(read_messages(spark, path=str(tmp_path / "in")), sinks_in(tmp_path))
+    read(spark, tmp_path, "alerts").select(F.base64("value").alias("data")).write.parquet(
+        str(tmp_path / "events")
+    )
+    events = spark.readStream.schema("data string").parquet(str(tmp_path / "events"))
+    outbox = alert_outbox(decode_envelope(events))
+    query = Sink(path=str(tmp_path / "mail")).start(outbox, str(tmp_path / "cp"), "mail", DRAIN)
+    query.awaitTermination()
+    got = {(r.status, r.subject) for r in read(spark, tmp_path, "mail").collect()}
+    assert got == {
+        ("pressure_yellow", "Warning! Error detected!"),
+        ("mpower_red", "Critical failure detected! Please repare immediately"),
+    }
+
+
 def test_stream_equals_batch(spark, day, sentinel, tmp_path):
     # Several files in time order, then the sentinel.
     for part in range(3):

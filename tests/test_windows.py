@@ -113,3 +113,18 @@ def test_means_are_combined_before_the_shuffle(make_readings):
     plan = window_means(rows)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
     assert "partial_avg" in plan and "SortAggregate" not in plan
+
+
+@pytest.mark.parametrize(
+    "length", ["1 minute", "90 seconds", "1 hour 30 minutes", "interval 7 minutes", "1 day"]
+)
+def test_bounds_are_those_of_the_window_function(spark, sf_dir, length):
+    from sensorloom.plans.event_readings import readings_from_events
+
+    readings = readings_from_events(spark, sf_dir)
+    window = F.window("event_time", length)
+    expected = readings.groupBy(window).count().select("window.start", "window.end", "count")
+    got = tumbling_counts(readings, length)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
+    assigned = assign_windows(readings, length).select("window_start", "window_end").distinct()
+    assert sorted(map(tuple, assigned.collect())) == sorted(r[:2] for r in expected.collect())
