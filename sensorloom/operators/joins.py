@@ -87,7 +87,7 @@ def left_lookup(
     is broadcast and the facts are not shuffled. A larger one is split: the keys holding more
     than one ``broadcast_rows``-th of all facts, which are fewer than ``broadcast_rows``
     whatever the data, are broadcast, and only the facts of the rest, none of them heavy, are
-    shuffled.
+    shuffled. Facts without a key are kept and never shuffled.
     """
     size = lookup.agg(F.count(F.lit(1)).alias("rows"), F.sum(weight).alias("facts")).first()
     values = lookup.drop(weight)
@@ -97,13 +97,9 @@ def left_lookup(
     heavy = F.col(weight) > F.lit(size["facts"] / broadcast_rows)
     hot = lookup.filter(heavy).drop(weight)
     cold = lookup.filter(~heavy).drop(weight)
-    known = facts.filter(F.col(key).isNotNull())
-    unplaced = facts.filter(F.col(key).isNull())
-    blanks = [F.lit(None).cast(f.dataType).alias(f.name) for f in values.schema if f.name != key]
-    return union_all(
-        known.join(F.broadcast(hot), key, "inner"),
-        known.join(F.broadcast(hot.select(key)), key, "left_anti").join(
-            cold, key, "left"
-        ),
-        unplaced.select("*", *blanks),
+    marked = facts.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
+    settled = marked.filter(F.col("_hot") | F.col(key).isNull()).drop("_hot")
+    rest = facts.filter(F.col(key).isNotNull()).join(
+        F.broadcast(hot.select(key)), key, "left_anti"
     )
+    return union_all(settled, rest.join(cold, key, "left"))

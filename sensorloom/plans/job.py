@@ -6,9 +6,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.grading import DEFAULT_RANGES, StatusRange
+from ..functions.scalars import parse_time
 from ..operators.alerts import alert_outbox, encode_alerts, encode_records, stamp, window_alerts
 from ..operators.combine import nested_alert, window_summary
 from ..operators.windows import WINDOW, WINDOW_LENGTH, window_means
@@ -57,13 +59,21 @@ def archive_rows(parsed: DataFrame, settings: Settings, sink: Sink) -> DataFrame
 
 
 def stamped_means(parsed: DataFrame, settings: Settings, watermark: bool) -> DataFrame:
-    """The wide means of every window, stamped: all window outputs derive from these rows."""
+    """The wide means of every window, stamped: all window outputs derive from these rows.
+
+    The last time of a window is that of its readings, whichever time the windows follow.
+    """
+    readings, reported = good_readings(parsed), None
+    if settings.event_time == "publish_time":
+        reported = "reported_time"
+        readings = readings.withColumn(reported, parse_time(F.col("time")))
     means = window_means(
-        good_readings(parsed),
+        readings,
         [r.measure for r in settings.ranges],
         settings.length,
         delay=settings.delay if watermark else None,
         places=settings.places,
+        reported_time=reported,
     )
     return stamp(means)
 

@@ -124,6 +124,16 @@ def test_flat_merged_message(spark, make_readings):
     ]
 
 
+def test_job_by_the_time_of_the_broker(spark, make_readings, tmp_path):
+    rows = encode_readings(make_readings(("a", "10:00:01", 45, 60, 11), ("b", "09:00:00", 47, 60, 11)))
+    arrived = rows.select(
+        F.col("value").alias("data"), F.lit("2024-03-01 12:00:30").cast("timestamp").alias("publish_time")
+    )
+    run_batch(as_messages(arrived), sinks_in(tmp_path), Settings(event_time="publish_time"))
+    (row,) = read(spark, tmp_path, "summary").collect()
+    assert (row.time, float(row.temp_mean)) == ("2024-03-01 10:00:01.000000", 46.0)
+
+
 def test_published_history_reaches_the_archive(spark, tmp_path):
     (tmp_path / "h.csv").write_text(
         "Par agitador,P abs SW mb,Tª SW\n12,60.5,45\n13,61,46\n", encoding="utf-8"
