@@ -74,7 +74,11 @@ def _parse_once(df: DataFrame, name: str, text: Column, schema: str) -> DataFram
     record = F.from_json(
         text,
         f"{schema}, {CORRUPT} string",
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
+        {
+            "mode": "PERMISSIVE",
+            "columnNameOfCorruptRecord": CORRUPT,
+            "allowSingleQuotes": "false",
+        },
     )
     return df.select("*", F.explode(F.array(record)).alias(name))
 
@@ -88,7 +92,11 @@ def _parse(df: DataFrame, raw: Column, schema: str) -> tuple[DataFrame, dict[str
     """
     fields = dict(field.split() for field in schema.split(", "))
     text, strict, lenient = F.col("_text"), F.col("_strict"), F.col("_lenient")
-    is_object = text.startswith("{") | F.ltrim(text, F.lit(" \t\r\n")).startswith("{")
+
+    def braced(value: Column) -> Column:
+        return value.startswith("{") & value.endswith("}")
+
+    is_object = braced(text) | braced(F.trim(text, F.lit(" \t\r\n")))
     df = df.withColumn("_text", raw.cast("string"))
     df = _parse_once(df, "_strict", F.when(F.is_valid_utf8(text) & is_object, text), schema)
     retry = F.when(strict[CORRUPT].isNotNull(), text)

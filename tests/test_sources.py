@@ -81,7 +81,10 @@ def test_missing_measure_and_other_fields(spark):
 
 @pytest.mark.parametrize(
     "bad",
-    [b'{"id": "a", ', b"not json", b"", b"5", b'"text"', b"null", b'[{"id": "a"}]', b'{"a": \xff}'],
+    [
+        b'{"id": "a", ', b"not json", b"", b"5", b'"text"', b"null", b'[{"id": "a"}]',
+        b'{"a": \xff}', b"{'id': 'a'}", b'{"id": "a"} x', b'{"id": 01}', b'{"id": a}',
+    ],
 )
 def test_no_json_object(spark, bad):
     df = parse_messages(messages(spark, bad, payload()))
@@ -93,7 +96,7 @@ def test_no_json_object(spark, bad):
 
 
 def test_leading_space_is_json(spark):
-    (row,) = parsed(spark, b" \n\t" + payload())
+    (row,) = parsed(spark, b" \n\t" + payload() + b"\r\n")
     assert row.id == "a" and row._corrupt is None
 
 
