@@ -26,11 +26,16 @@ def window_anchors(words: np.ndarray, window: int, span: int) -> np.ndarray:
     return np.lib.stride_tricks.sliding_window_view(short, window - span + 1).min(axis=1)
 
 
+def tag_of(raw: bytes | None) -> int:
+    """Tells texts of one repeated doc_id apart; never zero."""
+    return int.from_bytes(hashlib.blake2b(raw or b"", digest_size=7).digest(), "big") + 1
+
+
 def _anchor_rows(window: int, span: int):
     schema = pa.schema(
         [
             ("doc_id", pa.int64()),
-            ("text_key", pa.int64()),
+            ("tag", pa.int64()),
             ("content", pa.binary()),
             ("anchors", pa.list_(pa.int64())),
         ]
@@ -38,25 +43,25 @@ def _anchor_rows(window: int, span: int):
 
     def rows(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            out = {name: [] for name in schema.names}
-            columns = (batch.column(c).to_pylist() for c in ("doc_id", "text_key", "raw"))
-            for id, key, raw in zip(*columns):
+            out = {"doc_id": batch.column("doc_id"), "tag": [], "content": [], "anchors": []}
+            for raw in batch.column("raw").to_pylist():
                 words = word_hashes(raw or b"")
-                if len(words) >= window:
-                    anchors = np.unique(window_anchors(words, window, span)).view(np.int64)
-                    content = hashlib.blake2b(words.tobytes(), digest_size=16).digest()
-                    for name, value in zip(schema.names, (id, key, content, anchors)):
-                        out[name].append(value)
+                whole = len(words) >= window
+                anchors = np.unique(window_anchors(words, window, span)).view(np.int64)
+                content = hashlib.blake2b(words.tobytes(), digest_size=16).digest()
+                out["tag"].append(tag_of(raw))
+                out["content"].append(content if whole else None)
+                out["anchors"].append(anchors)
             yield batches(schema, out)
 
-    return rows, "doc_id long, text_key long, content binary, anchors array<long>"
+    return rows, "doc_id long, tag long, content binary, anchors array<long>"
 
 
 def _window_rows(window: int, span: int):
     schema = pa.schema(
         [
             ("doc_id", pa.int64()),
-            ("text_key", pa.int64()),
+            ("tag", pa.int64()),
             ("start", pa.int32()),
             ("h1", pa.int64()),
             ("h2", pa.int64()),
@@ -65,45 +70,44 @@ def _window_rows(window: int, span: int):
 
     def rows(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            for id, key, raw, shared in zip(
-                *(batch.column(c).to_pylist() for c in ("doc_id", "text_key", "raw")),
-                batch.column("shared"),
-            ):
+            columns = (batch.column(c).to_pylist() for c in ("doc_id", "raw", "many"))
+            for id, raw, many, shared in zip(*columns, batch.column("shared")):
                 if not shared.is_valid:
                     continue
                 words = word_hashes(raw or b"")
                 wanted = np.asarray(shared.values).view(np.uint64)
                 at = np.flatnonzero(np.isin(window_anchors(words, window, span), wanted))
                 if len(at):
+                    second = _SECOND.of(mixed(words), at, at + window)
                     yield batches(
                         schema,
                         {
                             "doc_id": np.full(len(at), id),
-                            "text_key": np.full(len(at), key),
+                            "tag": np.full(len(at), tag_of(raw) if many else 0),
                             "start": at.astype(np.int32),
                             "h1": _FIRST.of(words, at, at + window).view(np.int64),
-                            "h2": _SECOND.of(mixed(words), at, at + window).view(np.int64),
+                            "h2": second.view(np.int64),
                         },
                     )
 
-    return rows, "doc_id long, text_key long, start int, h1 long, h2 long"
+    return rows, "doc_id long, tag long, start int, h1 long, h2 long"
 
 
 def _cut(window: int):
     def rows(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
             out = {"n_words": [], "n_removed": [], "kept": [], "spans": []}
-            for raw, starts, copied in zip(
-                batch.column("raw").to_pylist(),
-                batch.column("starts"),
-                batch.column("copied").to_pylist(),
-            ):
+            columns = (batch.column(c).to_pylist() for c in ("raw", "removed"))
+            for raw, removed in zip(*columns):
                 words = (raw or b"").split()
-                spans = []
-                if copied:
+                spans, found = [], removed or []
+                if any(r["tag"] for r in found):
+                    own = tag_of(raw)
+                    found = [r for r in found if r["tag"] == own]
+                if any(r["starts"] is None for r in found):
                     spans = [[0, len(words)]]
-                elif starts.is_valid:
-                    at = np.sort(np.asarray(starts.values))
+                elif found:
+                    at = np.sort(np.concatenate([r["starts"] for r in found]))
                     breaks = np.flatnonzero(np.diff(at) > window) + 1
                     spans = [[int(x[0]), int(x[-1]) + window] for x in np.split(at, breaks)]
                 kept, end = [], 0
@@ -148,14 +152,23 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, span: int = SPAN) -> D
     """
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        F.xxhash64("text").alias("text_key"),
         F.col("text").cast("binary").alias("raw"),
         F.struct(*[c for c in docs.columns if c != "text"]).alias("other"),
     )
     function, schema = _anchor_rows(window, span)
-    per_text = stored(rows.where("doc_id IS NOT NULL").drop("other").mapInArrow(function, schema), "anchors")
+    per_text = stored(
+        rows.where("doc_id IS NOT NULL").select("doc_id", "raw").mapInArrow(function, schema),
+        "anchors",
+    )
+    # ids with several texts; elsewhere the id alone names the text
+    many = (
+        per_text.groupBy("doc_id")
+        .agg((F.min("tag") < F.max("tag")).alias("many"))
+        .where("many")
+    )
     # one row per distinct sequence of words, that of the smallest id
-    firsts = per_text.groupBy("content").agg(F.min(F.struct("doc_id", "anchors")).alias("first"))
+    long_texts = per_text.where("content IS NOT NULL")
+    firsts = long_texts.groupBy("content").agg(F.min(F.struct("doc_id", "anchors")).alias("first"))
     anchors = firsts.select("first.doc_id", F.explode("first.anchors").alias("anchor"))
     shared = (
         anchors.groupBy("anchor")
@@ -167,33 +180,40 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, span: int = SPAN) -> D
         anchors.join(shared, "anchor")
         .groupBy("doc_id")
         .agg(F.collect_list("anchor").alias("shared"))
+        .join(many, "doc_id", "left")
     )
+    # both joins of the texts are left joins on the same columns of the same rows: Spark reuses
+    # their exchange, so that texts are shuffled once; the windows are hashed again instead of kept
     function, schema = _window_rows(window, span)
-    windows = stored(rows.drop("other").join(of_doc, "doc_id").mapInArrow(function, schema), "windows")
-    earliest = (
-        windows.groupBy("h1", "h2")
-        .agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-        .where("least < most")
-        .drop("most")
-    )
+    windows = rows.join(of_doc, "doc_id", "left").mapInArrow(function, schema)
+    earliest = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"))
     starts = (
         windows.join(earliest, ["h1", "h2"])
         .where("doc_id > least")
-        .groupBy("doc_id", "text_key")
+        .groupBy("doc_id", "tag")
         .agg(F.collect_list("start").alias("starts"))
     )
-    least = per_text.groupBy("content").agg(F.min("doc_id").alias("least"))
+    least = long_texts.groupBy("content").agg(F.min("doc_id").alias("least"))
     copies = (
-        per_text.select("doc_id", "text_key", "content")
+        long_texts.select("doc_id", "tag", "content")
         .join(least, "content")
         .where("doc_id > least")
-        .select("doc_id", "text_key", F.lit(True).alias("copied"))
+        .join(many, "doc_id", "left")
+        .select(
+            "doc_id",
+            F.when(F.col("many"), F.col("tag")).otherwise(0).alias("tag"),
+            F.lit(None).cast("array<int>").alias("starts"),
+        )
         .distinct()
     )
-    removed = copies.join(starts, ["doc_id", "text_key"], "full")
+    removed = (
+        copies.unionByName(starts)
+        .groupBy("doc_id")
+        .agg(F.collect_list(F.struct("tag", "starts")).alias("removed"))
+    )
     function, schema = _cut(window)
     other = rows.schema["other"].dataType.simpleString()
-    return rows.join(removed, ["doc_id", "text_key"], "left").mapInArrow(
+    return rows.join(removed, "doc_id", "left").mapInArrow(
         function, f"doc_id long, other {other}, {schema}"
     )
 
