@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sensorloom.llm import decontam, embeddings, mixing, simhash, substrings, toxicity, warc
+from sensorloom.llm import decontam, embeddings, langid, mixing, simhash, substrings, toxicity, warc
 from sensorloom.llm.common import table
 
 
@@ -27,6 +27,10 @@ def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest(table(spark, sf_dir, "documents"))
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predictions(table(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -44,6 +48,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_mixing": op3_mixing,
     "op6_substrings": op6_substrings,
+    "op7_language": op7_language,
     "op8_decontamination": op8_decontamination,
     "op9_warc": op9_warc,
     "op10_embeddings": op10_embeddings,
