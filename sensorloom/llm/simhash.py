@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorloom.llm.common import stored, word_spans
@@ -259,3 +259,26 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
         F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"),
         "component_id",
     )
+
+
+def representatives(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
+    """One row of ``docs``, with all its columns, of each component of near-duplicates: that of
+    the smallest doc_id.
+
+    Rows of one doc_id are one document; if several are in question the one with the smallest text
+    stays (NULL first). Rows with a NULL doc_id are in no group and stay.
+    """
+    ids = (
+        near_duplicates(docs.select("doc_id", "text"), radius, shingle)
+        .where("doc_id IS NOT NULL")
+        .groupBy(F.col("doc_id").alias("keep_id"))
+        .agg(F.count("*").alias("keep_rows"), F.max(F.col("doc_id") == F.col("component_id")).alias("keep"))
+        .where("keep")
+    )
+    whole = F.struct(*docs.columns).alias("doc")
+    rows = docs.select(F.col("doc_id").cast("long").alias("keep_id"), whole).join(ids, "keep_id")
+    first = Window.partitionBy("keep_id").orderBy("doc.text")
+    again = rows.where("keep_rows > 1").withColumn("at", F.row_number().over(first)).where("at = 1")
+    kept = rows.where("keep_rows = 1").select("doc").unionByName(again.select("doc"))
+    kept = kept.unionByName(docs.where("doc_id IS NULL").select(whole))
+    return kept.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns])
