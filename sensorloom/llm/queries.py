@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sensorloom.llm import decontam, embeddings, langid, mixing, simhash, substrings, toxicity, warc
+from sensorloom.llm import decontam, embeddings, langid, maxent, mixing, simhash, substrings, toxicity, warc
 from sensorloom.llm.common import table
 
 
@@ -23,6 +23,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(docs).drop("text")
 
 
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.predictions(table(spark, sf_dir, "documents"))
+
+
 def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest(table(spark, sf_dir, "documents"))
 
@@ -47,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_toxicity": op2_toxicity,
     "op3_mixing": op3_mixing,
+    "op4_lm_score": op4_lm_score,
     "op6_substrings": op6_substrings,
     "op7_language": op7_language,
     "op8_decontamination": op8_decontamination,
