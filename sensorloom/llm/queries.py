@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sensorloom.llm import decontam, embeddings, langid, maxent, mixing, simhash, substrings, toxicity, warc
+from sensorloom.llm import (
+    decontam,
+    embeddings,
+    langid,
+    licences,
+    maxent,
+    mixing,
+    simhash,
+    substrings,
+    toxicity,
+    warc,
+)
 from sensorloom.llm.common import table
 
 
@@ -27,6 +38,10 @@ def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxent.predictions(table(spark, sf_dir, "documents"))
 
 
+def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scanned(table(spark, sf_dir, "documents"))
+
+
 def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest(table(spark, sf_dir, "documents"))
 
@@ -52,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_mixing": op3_mixing,
     "op4_lm_score": op4_lm_score,
+    "op5_licences": op5_licences,
     "op6_substrings": op6_substrings,
     "op7_language": op7_language,
     "op8_decontamination": op8_decontamination,
