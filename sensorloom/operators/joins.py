@@ -64,9 +64,9 @@ def enrich_with_window(
     so their number is known before the join is planned and they are not computed twice.
     """
     ensure_checkpoint_dir(readings.sparkSession)
-    present = readings.filter(F.col(measure).isNotNull())
+    # windows weigh what they hold, readings without a value included: all of them are joined
     means = (
-        window_means(present, [measure], length, event_time, places=places)
+        window_means(readings, [measure], length, event_time, places=places)
         .select("window_start", F.col(measure).alias("window_mean"), "n")
         .checkpoint()
     )

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.scalars import parse_time
+
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Exactly the declared columns, cast to their types; what does not fit becomes NULL.
@@ -22,8 +24,8 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def with_date(df: DataFrame, time: str = "time", name: str = "event_date") -> DataFrame:
-    """Add the day of a time text as a column to partition a table by."""
-    return df.withColumn(name, F.substring(F.col(time), 1, 10))
+    """Add the day of a time text as a column to partition a table by; NULL for no readable time."""
+    return df.withColumn(name, F.date_format(parse_time(F.col(time)), "yyyy-MM-dd"))
 
 
 @dataclass(frozen=True)

@@ -25,10 +25,10 @@ def read_readings_csv(
     """The measure columns of CSV history, found by header name, as DOUBLE.
 
     The header alone is read ahead, no values are sampled, and the columns not asked for are
-    pruned. An empty cell is NaN, as in a data-frame reader; text that is no number is NULL.
+    pruned. A file whose header differs from the first one's fails. An empty cell is NaN, as in a data-frame reader; text that is no number is NULL.
     """
     names = columns or HISTORY_COLUMNS
-    raw = spark.read.csv(path, header=True, **options)
+    raw = spark.read.csv(path, **{"header": True, "enforceSchema": False, **options})
 
     def number(name: str) -> Column:
         cell = F.col(f"`{name}`")

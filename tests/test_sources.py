@@ -234,3 +234,11 @@ def test_declared_schema_modes_and_errors():
         schema_from_declaration({"fields": [field, field]})
     with pytest.raises(ValueError, match="unknown type"):
         schema_from_declaration({"fields": [{"name": "x", "type": "SHAPE"}]})
+
+
+def test_csv_files_of_another_column_order_fail(spark, tmp_path):
+    names = list(HISTORY_COLUMNS.values())
+    for n, order in enumerate((names, names[::-1])):
+        (tmp_path / f"{n}.csv").write_text(",".join(order) + "\n1,2,3\n", encoding="utf-8")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_readings_csv(spark, str(tmp_path)).collect()
