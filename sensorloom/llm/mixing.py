@@ -12,6 +12,8 @@ from sensorloom.llm.common import WORD, stored
 
 #: Blocks of a source; steps that bisect the exponent; exponents looked at in one pass.
 BLOCKS, HALVINGS, AT_ONCE = 1_024, 40, 5
+#: Powers are summed in this type, so that the order of rows does not show in any digit.
+EXACT = "decimal(28,18)"
 #: Up to so many rows the plan of all blocks is broadcast; past it, it is joined by shuffle.
 BROADCAST_ROWS = 200_000
 
@@ -44,8 +46,8 @@ def exponent(
         power = F.pow(F.col("tokens") / F.lit(float(total[1])), F.col("a"))
         rows = sources.select("tokens", grid).withColumn("p", power)
         sums = rows.groupBy("a").agg(
-            F.sum("p").alias("z"),
-            F.sum(F.col("p") * F.ln("p")).alias("plogp"),
+            F.sum(F.col("p").cast(EXACT)).cast("double").alias("z"),
+            F.sum((F.col("p") * F.ln("p")).cast(EXACT)).cast("double").alias("plogp"),
             F.max(F.col("p") / F.col("tokens")).alias("most"),
         )
         out = {}
@@ -122,7 +124,7 @@ def mixed(
     budget = float(all_tokens[0] or 0) if budget is None else float(budget)
     a = exponent(sources, budget, entropy, repeats)
     power = F.pow(F.col("tokens") / F.lit(float(all_tokens[1] or 1)), F.lit(a))
-    z = sources.agg(F.sum(power)).first()[0] or 1.0
+    z = float(sources.agg(F.sum(power.cast(EXACT))).first()[0] or 1.0)
     quotas = sources.select(
         "key",
         (power / F.lit(z)).alias("weight"),
