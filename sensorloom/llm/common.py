@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 WORD = r"[^\x20\x09-\x0D]+"
+#: A key is hot if it has more than this part of all rows; so there are fewer hot keys than this.
+HOT_KEYS = 4_096
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -42,6 +44,35 @@ def stored(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def looked_up(
+    rows: DataFrame, facts: DataFrame, keys: list[str], total: int, spread: list[str]
+) -> DataFrame:
+    """``rows`` with the columns of ``facts``, which has one row for each combination of the long
+    ``keys`` that are in ``rows``, and in ``n`` how many of the ``total`` rows have it.
+
+    The fewer than ``HOT_KEYS`` keys with many rows are broadcast; their rows have what they look
+    for already and are dealt by the columns ``spread`` instead of the key, so that no task gets
+    all rows of one key. Rows with a NULL key find nothing.
+    """
+    found = [c for c in facts.columns if c not in keys and c != "n"]
+    hot = facts.where(F.col("n") > total / HOT_KEYS).select(
+        *keys, F.lit(True).alias("hot"), *[F.col(c).alias(f"hot_{c}") for c in found]
+    )
+    # the condition is always true; it keeps ``n``, so that Spark reuses one exchange for both
+    facts = facts.where("n > 0").select(
+        *[F.col(c).alias(f"dealt_{c}") for c in keys], *[F.col(c).alias(f"all_{c}") for c in found]
+    )
+    dealt = [
+        F.when(F.col("hot"), F.xxhash64(F.lit(c), *spread)).otherwise(F.col(c)).alias(f"dealt_{c}")
+        for c in keys
+    ]
+    out = rows.join(F.broadcast(hot), keys, "left").select("*", *dealt)
+    return out.join(facts, [f"dealt_{c}" for c in keys], "left").select(
+        *rows.columns,
+        *[F.when(F.col("hot"), F.col(f"hot_{c}")).otherwise(F.col(f"all_{c}")).alias(c) for c in found],
+    )
+
+
 def fold(id: str | Column, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; NULL for a NULL id."""
     column = F.col(id) if isinstance(id, str) else id

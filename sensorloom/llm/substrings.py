@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorloom.llm.common import WORD, Spans, batches, mixed, stored, word_hashes
+from sensorloom.llm.common import WORD, Spans, batches, looked_up, mixed, stored, word_hashes
 
 #: Words in a window, and in the shorter spans of which each window picks its smallest.
 WINDOW, SPAN = 50, 12
@@ -37,13 +37,14 @@ def _anchor_rows(window: int, span: int):
             ("doc_id", pa.int64()),
             ("tag", pa.int64()),
             ("content", pa.binary()),
+            ("windows", pa.int64()),
             ("anchors", pa.list_(pa.int64())),
         ]
     )
 
     def rows(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            out = {"doc_id": batch.column("doc_id"), "tag": [], "content": [], "anchors": []}
+            out = {"doc_id": batch.column("doc_id"), "tag": [], "content": [], "windows": [], "anchors": []}
             for raw in batch.column("raw").to_pylist():
                 words = word_hashes(raw or b"")
                 whole = len(words) >= window
@@ -51,10 +52,11 @@ def _anchor_rows(window: int, span: int):
                 content = hashlib.blake2b(words.tobytes(), digest_size=16).digest()
                 out["tag"].append(tag_of(raw))
                 out["content"].append(content if whole else None)
+                out["windows"].append(max(0, len(words) - window + 1))
                 out["anchors"].append(anchors)
             yield batches(schema, out)
 
-    return rows, "doc_id long, tag long, content binary, anchors array<long>"
+    return rows, "doc_id long, tag long, content binary, windows long, anchors array<long>"
 
 
 def _window_rows(window: int, span: int):
@@ -143,7 +145,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, span: int = SPAN) -> D
     Every window has a Rabin-Karp hash, counted in Spark. Only those can repeat whose anchor (the
     smallest hash of ``span`` words inside the window) stands in two documents, so anchors, one
     for about nineteen windows, are counted first, and the windows below shared anchors then, by
-    128 bits. Documents of equal words are counted as the one with the smallest id.
+    128 bits. Documents of equal words are counted as the one with the smallest id. A window that
+    stands in very many places is looked up by broadcast.
 
     A NULL text has no words and stays NULL; a text shorter than a window stays whole. A row
     with a NULL doc_id is neither before nor after any other: nothing of it goes and it makes
@@ -186,9 +189,12 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, span: int = SPAN) -> D
     # their exchange, so that texts are shuffled once; the windows are hashed again instead of kept
     function, schema = _window_rows(window, span)
     windows = rows.join(of_doc, "doc_id", "left").mapInArrow(function, schema)
-    earliest = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"))
+    earliest = windows.groupBy("h1", "h2").agg(
+        F.min("doc_id").alias("least"), F.count("*").alias("n")
+    )
+    total = per_text.agg(F.sum("windows")).first()[0] or 0
     starts = (
-        windows.join(earliest, ["h1", "h2"])
+        looked_up(windows, earliest, ["h1", "h2"], total, ["doc_id", "start"])
         .where("doc_id > least")
         .groupBy("doc_id", "tag")
         .agg(F.collect_list("start").alias("starts"))
