@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorloom.llm.common import stored, word_spans
+from sensorloom.llm.common import looked_up, stored, word_spans
 from sensorloom.llm.graph import components
 
 #: Words in a shingle, seed of the shingle hash, differing bits that still link.
@@ -239,7 +239,8 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
     Repeated rows stay. Other columns are ignored.
     """
     prints = stored(fingerprints(docs, shingle), "prints")
-    nodes = stored(prints.groupBy("print").agg(F.min("doc_id").alias("least")), "nodes")
+    nodes = prints.groupBy("print").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
+    nodes = stored(nodes, "nodes")
     roots = components(links(nodes, radius))
     joined = nodes.join(roots.withColumnRenamed("node", "print"), "print").withColumn(
         "root", F.coalesce("root", "print")
@@ -252,9 +253,11 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
     least = members.groupBy("root").agg(F.min("least").alias("component_id"))
     linked = members.join(least, "root").select("print", "component_id")
     of_print = nodes.join(linked, "print", "left").select(
-        "print", F.coalesce("component_id", "least").alias("component_id")
+        "print", "n", F.coalesce("component_id", "least").alias("component_id")
     )
-    return prints.join(of_print, "print").select(
+    of_print = stored(of_print, "classes")
+    total = nodes.agg(F.sum("n")).first()[0] or 0
+    return looked_up(prints, of_print, ["print"], total, ["doc_id"]).select(
         "doc_id",
         F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"),
         "component_id",
