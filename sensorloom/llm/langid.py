@@ -16,6 +16,8 @@ from sensorloom.llm.common import fold, mixed
 #: Bytes of an n-gram, hashed features, documents of each language the model is fitted on at most
 #: (by crc32 of the id), and of all languages.
 GRAMS, DIMENSIONS, PER_LANGUAGE, SAMPLE = (1, 2, 3), 1 << 16, 400, 4_000
+#: So many times ``PER_LANGUAGE`` documents are looked at to find the first of a language.
+SPARE = 1.5
 #: One document in so many, those with this remainder, is held out of everything that is learned.
 FOLDS, HELD_OUT = 3, 1
 #: Steps and penalties of follow-the-regularised-leader.
@@ -114,8 +116,9 @@ def fit(docs: DataFrame) -> Model:
     """Learns from ``docs(doc_id, text, lang)`` that are not held out and whose lang is not NULL.
 
     Document frequencies are those of all of them. The regression takes at most ``PER_LANGUAGE``
-    documents of a language and ``SAMPLE`` in all, by crc32 of the id; a fifth of these sets the
-    temperature alone.
+    documents of a language and ``SAMPLE`` in all, by crc32 of the id (fewer if a language has many
+    rows of few ids), of the ``SAMPLE`` languages with the most documents; a fifth of these sets
+    the temperature alone.
     """
     known = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -123,13 +126,21 @@ def fit(docs: DataFrame) -> Model:
         F.col("lang").cast("string").alias("lang"),
     ).where("text IS NOT NULL AND lang IS NOT NULL")
     known = known.where(fold("doc_id", FOLDS) != HELD_OUT)
-    order = (F.crc32(F.col("doc_id").cast("string").cast("binary")), F.col("doc_id"))
-    # the first of each language are found map-side: no window over all documents of one
+    order = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    # the share of each language's ids, by crc32, that holds a few more than are wanted: the ranks
+    # are found among these alone, however many documents a language has
+    shares = (
+        known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(SAMPLE)
+        .select("lang", (F.lit(SPARE * PER_LANGUAGE * 2.0**32) / F.col("count")).alias("below"))
+    )
     first = Window.partitionBy("lang").orderBy("order", "doc_id")
-    ids = known.select("lang", order[0].alias("order"), "doc_id").distinct()
+    ids = known.select("lang", order.alias("order"), "doc_id").join(F.broadcast(shares), "lang")
+    ids = ids.where("order < below").select("lang", "order", "doc_id").distinct()
     ids = ids.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= PER_LANGUAGE)
     chosen = ids.orderBy("rank", "lang").limit(SAMPLE).select("doc_id", "lang", "rank")
     some = known.join(F.broadcast(chosen), ["doc_id", "lang"]).select("lang", "rank", "text")
+    # of rows with the same id and language one is enough
+    some = some.groupBy("lang", "rank").agg(F.min("text").alias("text"))
 
     def frequencies(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(DIMENSIONS + 1, np.int64)
