@@ -47,8 +47,8 @@ def stored(df: DataFrame, what: str) -> DataFrame:
 def looked_up(
     rows: DataFrame, facts: DataFrame, keys: list[str], total: int, spread: list[str]
 ) -> DataFrame:
-    """``rows`` with the columns of ``facts``, which has one row for each combination of the long
-    ``keys`` that are in ``rows``, and in ``n`` how many of the ``total`` rows have it.
+    """``rows`` with the columns of ``facts``, which has one row for each combination of the ``keys``
+    (long or binary) that are in ``rows``, and in ``n`` how many of the ``total`` rows have it.
 
     The fewer than ``HOT_KEYS`` keys with many rows are broadcast; their rows have what they look
     for already and are dealt by the columns ``spread`` instead of the key, so that no task gets
@@ -62,9 +62,14 @@ def looked_up(
     facts = facts.where("n > 0").select(
         *[F.col(c).alias(f"dealt_{c}") for c in keys], *[F.col(c).alias(f"all_{c}") for c in found]
     )
+
+    def elsewhere(key: str) -> Column:
+        number = F.xxhash64(F.lit(key), *spread)
+        return number.cast("string").cast("binary") if types[key] == "binary" else number
+
+    types = dict(rows.dtypes)
     dealt = [
-        F.when(F.col("hot"), F.xxhash64(F.lit(c), *spread)).otherwise(F.col(c)).alias(f"dealt_{c}")
-        for c in keys
+        F.when(F.col("hot"), elsewhere(c)).otherwise(F.col(c)).alias(f"dealt_{c}") for c in keys
     ]
     out = rows.join(F.broadcast(hot), keys, "left").select("*", *dealt)
     return out.join(facts, [f"dealt_{c}" for c in keys], "left").select(

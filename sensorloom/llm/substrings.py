@@ -146,7 +146,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, span: int = SPAN) -> D
     smallest hash of ``span`` words inside the window) stands in two documents, so anchors, one
     for about nineteen windows, are counted first, and the windows below shared anchors then, by
     128 bits. Documents of equal words are counted as the one with the smallest id. A window that
-    stands in very many places is looked up by broadcast.
+    stands in very many places, and a text of very many copies, are looked up by broadcast.
 
     A NULL text has no words and stays NULL; a text shorter than a window stays whole. A row
     with a NULL doc_id is neither before nor after any other: nothing of it goes and it makes
@@ -192,17 +192,20 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, span: int = SPAN) -> D
     earliest = windows.groupBy("h1", "h2").agg(
         F.min("doc_id").alias("least"), F.count("*").alias("n")
     )
-    total = per_text.agg(F.sum("windows")).first()[0] or 0
+    total, texts = per_text.agg(F.sum("windows"), F.count("content")).first()
     starts = (
-        looked_up(windows, earliest, ["h1", "h2"], total, ["doc_id", "start"])
+        looked_up(windows, earliest, ["h1", "h2"], total or 0, ["doc_id", "start"])
         .where("doc_id > least")
         .groupBy("doc_id", "tag")
         .agg(F.collect_list("start").alias("starts"))
     )
-    least = long_texts.groupBy("content").agg(F.min("doc_id").alias("least"))
+    least = long_texts.groupBy("content").agg(
+        F.min("doc_id").alias("least"), F.count("*").alias("n")
+    )
     copies = (
-        long_texts.select("doc_id", "tag", "content")
-        .join(least, "content")
+        looked_up(
+            long_texts.select("doc_id", "tag", "content"), least, ["content"], texts, ["doc_id", "tag"]
+        )
         .where("doc_id > least")
         .join(many, "doc_id", "left")
         .select(
