@@ -85,8 +85,9 @@ class Sink:
         return writer.start(self.path) if self.path else writer.start()
 
 
-def print_rows(df: DataFrame, rows: int = 20, name: str | None = None) -> StreamingQuery | None:
-    """Show a table, or start showing a stream, on the console."""
+def print_rows(df: DataFrame, rows: int, name: str | None = None) -> StreamingQuery | None:
+    """Show the first ``rows`` of a table, or start showing those of each batch of a stream, on the
+    console. They pass through the driver, so the caller names the bound."""
     if not df.isStreaming:
         df.show(rows, truncate=False)
         return None

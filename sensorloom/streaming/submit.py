@@ -32,7 +32,7 @@ def arguments(argv: Sequence[str] | None = None) -> tuple[argparse.Namespace, li
     parser.add_argument("--source-path")
     parser.add_argument("--source-option", type=key_value, action="append", default=[])
     for output in OUTPUTS:
-        parser.add_argument(f"--{output}-format", default="parquet")
+        parser.add_argument(f"--{output}-format", help="parquet unless given")
         parser.add_argument(f"--{output}-path")
         parser.add_argument(f"--{output}-table")
         parser.add_argument(f"--{output}-option", type=key_value, action="append", default=[])
@@ -44,6 +44,7 @@ def arguments(argv: Sequence[str] | None = None) -> tuple[argparse.Namespace, li
     parser.add_argument("--delay", default="0 seconds")
     parser.add_argument("--event-time", choices=("time", "publish_time"), default="time")
     parser.add_argument("--merged", choices=("nested", "flat"), default="nested")
+    parser.add_argument("--places", type=int, help="decimal places means are rounded to")
     parser.add_argument("--checkpoint")
     parser.add_argument("--trigger", default="10 seconds", help="an interval, or 'available-now'")
     parser.add_argument("--batch", action="store_true", help="read the source once, as a table")
@@ -52,12 +53,12 @@ def arguments(argv: Sequence[str] | None = None) -> tuple[argparse.Namespace, li
 
 def sink_of(args: argparse.Namespace, output: str) -> Sink | None:
     path, table = getattr(args, f"{output}_path"), getattr(args, f"{output}_table")
-    options = dict(getattr(args, f"{output}_option"))
-    if not (path or table or options):
+    options, format = dict(getattr(args, f"{output}_option")), getattr(args, f"{output}_format")
+    if not (path or table or options or format):
         return None
     by_date = output == "archive" and args.archive_by_date
     return Sink(
-        getattr(args, f"{output}_format"),
+        format or "parquet",
         path,
         table,
         options,
@@ -65,6 +66,15 @@ def sink_of(args: argparse.Namespace, output: str) -> Sink | None:
     )
 
 
+def sinks_of(args: argparse.Namespace) -> Sinks:
+    """All outputs asked for, by a path, a table, an option or a format; it is an error to ask for
+    none."""
+    found = {output: sink_of(args, output) for output in OUTPUTS}
+    if not any(found.values()):
+        raise SystemExit(f"no output: give a path, table or format for one of {', '.join(OUTPUTS)}")
+    return Sinks(**found)
+
+
 def settings_of(args: argparse.Namespace) -> Settings:
     return Settings(
         ranges=load_ranges(args.ranges) if args.ranges else DEFAULT_RANGES,
@@ -72,6 +82,7 @@ def settings_of(args: argparse.Namespace) -> Settings:
         delay=args.delay,
         event_time=args.event_time,
         merged=args.merged,
+        places=args.places,
         archive_schema=load_schema(args.archive_schema) if args.archive_schema else ARCHIVE_SCHEMA,
         summary_schema=load_schema(args.summary_schema) if args.summary_schema else SUMMARY_SCHEMA,
     )
@@ -79,13 +90,13 @@ def settings_of(args: argparse.Namespace) -> Settings:
 
 def main(argv: Sequence[str] | None = None) -> None:
     args, rest = arguments(argv)
+    sinks = sinks_of(args)
     builder = SparkSession.builder.appName("sensorloom")
     for option in rest:
         key, value = key_value(option.removeprefix("--"))
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     pin_utc(spark)
-    sinks = Sinks(**{output: sink_of(args, output) for output in OUTPUTS})
     messages = read_messages(
         spark, args.source_format, args.source_path, dict(args.source_option), not args.batch
     )

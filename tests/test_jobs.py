@@ -26,7 +26,7 @@ from sensorloom.sources.messages import (
     read_messages,
 )
 from sensorloom.streaming.job import checkpoint_root, run_to_end, start_job
-from sensorloom.streaming.submit import arguments, main, settings_of, sink_of
+from sensorloom.streaming.submit import arguments, main, settings_of, sink_of, sinks_of
 
 DRAIN = {"availableNow": True}
 OUTPUTS = ("archive", "alerts", "merged", "summary", "outbox", "metrics", "rejects")
@@ -311,15 +311,23 @@ def test_observation_of_a_table(spark):
 
 
 def test_print_sink(spark, sentinel, tmp_path, capsys):
-    assert print_rows(sentinel) is None
+    assert print_rows(sentinel, 20) is None
     assert "sentinel" in capsys.readouterr().out
     sentinel.write.parquet(str(tmp_path / "in"))
-    query = print_rows(spark.readStream.schema(sentinel.schema).parquet(str(tmp_path / "in")))
+    query = print_rows(spark.readStream.schema(sentinel.schema).parquet(str(tmp_path / "in")), 20)
     query.processAllAvailable()
     assert query.lastProgress.numInputRows == 1
     query.stop()
 
 
+def test_a_format_alone_asks_for_an_output_and_none_is_an_error():
+    args, _ = arguments(["--alerts-format", "console", "--places", "3"])
+    assert sinks_of(args) == Sinks(alerts=Sink("console"))
+    assert settings_of(args).places == 3
+    with pytest.raises(SystemExit):
+        main(["--source-path", "/in"])
+
+
 class Cluster:
     """As much of a session as the choice of the shared folder looks at."""
 
