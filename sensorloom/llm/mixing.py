@@ -94,7 +94,7 @@ def mixed(
     mix_rank`` (read in order of epoch, then rank; then of doc_id's hash).
 
     A source's weight is its share of tokens (words) to the power of the exponent that meets the
-    target, normalised; its quota is that share of ``budget`` tokens (all tokens by default). The
+    target, normalised; its quota is that share of ``budget`` tokens (all tokens by default), rounded. The
     quota is filled in epochs. Each epoch permutes the source's blocks, which the document's hash
     makes; all but the last take every block, the last takes blocks in order while they fit, and of
     the block at the boundary documents in order of hash while they start below the quota. So a
@@ -128,7 +128,8 @@ def mixed(
     quotas = sources.select(
         "key",
         (power / F.lit(z)).alias("weight"),
-        (power / F.lit(z) * F.lit(budget)).alias("quota"),
+        # whole tokens: a rounding error above a whole number of epochs must take no document
+        F.round(power / F.lit(z) * F.lit(budget)).alias("quota"),
         F.col("tokens").alias("whole"),
     ).withColumn("epochs", F.floor(F.col("quota") / F.col("whole")).cast("int"))
     order = Window.partitionBy("key").orderBy("turn", "block").rowsBetween(Window.unboundedPreceding, -1)
