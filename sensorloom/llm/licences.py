@@ -20,6 +20,7 @@ TEMPLATES = {
     "agpl": [
         "This program is licensed under the GNU Affero General Public License, version 3.",
         "Licensed under AGPL-3.0.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License",
     ],
     "apache": [
         "Licensed under the Apache License, Version 2.0.",
@@ -56,6 +57,7 @@ TEMPLATES = {
     "lgpl": [
         "This library is licensed under the GNU Lesser General Public License, version 2.1.",
         "Licensed under LGPL-3.0.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License",
     ],
     "mit": [
         "Released under the MIT License.",
@@ -68,6 +70,27 @@ TEMPLATES = {
     ],
     "proprietary": ["All rights reserved.", "Copyright. All rights reserved.", "Confidential and proprietary. All rights reserved."],
 }
+#: Headings of licence texts, which confirm a line that holds nothing else.
+HEADINGS = {
+    "agpl": ["GNU Affero General Public License", "GNU Affero General Public License Version 3"],
+    "apache": ["Apache License", "Apache License 2.0", "Apache License Version 2.0", "Apache License Version 2.0, January 2004"],
+    "bsd": ["BSD License", "BSD 2-Clause License", "BSD 3-Clause License", "The BSD License", "The 3-Clause BSD License"],
+    "cc0": ["CC0 1.0 Universal", "Creative Commons CC0 1.0 Universal"],
+    "cc-by": ["CC BY 4.0", "Creative Commons Attribution 4.0 International", "Attribution 4.0 International"],
+    "cc-by-nc": ["CC BY-NC 4.0", "Creative Commons Attribution-NonCommercial 4.0 International", "Attribution-NonCommercial 4.0 International"],
+    "cc-by-sa": ["CC BY-SA 4.0", "Creative Commons Attribution-ShareAlike 4.0 International", "Attribution-ShareAlike 4.0 International"],
+    "gpl": ["GNU General Public License", "GNU General Public License Version 2", "GNU General Public License Version 3"],
+    "lgpl": ["GNU Lesser General Public License", "GNU Lesser General Public License Version 2.1", "GNU Lesser General Public License Version 3"],
+    "mit": ["MIT License", "The MIT License", "The MIT License MIT"],
+    "mpl": ["Mozilla Public License", "Mozilla Public License 2.0", "Mozilla Public License Version 2.0"],
+}
+#: SPDX identifiers of each family.
+SPDX = {
+    "agpl": "agpl-[0-9].*", "apache": "apache-[0-9].*", "bsd": "0?bsd(-[0-9]-clause.*)?", "cc0": "cc0-[0-9].*",
+    "cc-by": "cc-by-[0-9].*", "cc-by-nc": "cc-by-nc-[0-9].*", "cc-by-sa": "cc-by-sa-[0-9].*",
+    "gpl": "gpl-[0-9].*", "lgpl": "lgpl-[0-9].*", "mit": "mit(-.*)?", "mpl": "mpl-[0-9].*",
+}
+TAG = "spdx-license-identifier"
 #: Statements with words of licences that name none.
 OTHER = [
     "You need a license to drive a car.",
@@ -85,10 +108,12 @@ OTHER = [
 #: Words that make no feature by themselves.
 STOP = set("a above all and any are at be by can for form free in into is it may met new of or see that the this to under use v was with without work works you".split())
 
-#: What a paragraph must hold to be classified at all; every statement holds one.
+#: Stems of which every statement holds one; nothing is left out for want of them.
 ANCHORS = ["licens", "licenc", "rights reserved", "public domain", "hereby granted", "redistribut", "copyright", "creative commons", "mozilla public", "gpl", "cc0", "bsd"]
 
 WORD = r"[\p{L}\p{N}]+(?:[.\-][\p{L}\p{N}]+)*"
+#: What ends a run of lines: the end of a line that ends a sentence, or a line without words.
+SENTENCES = r"(?<=[.!?:;])[^\p{L}\p{N}\r\n]*[\r\n]+|(?>\r\n|[\r\n])[^\p{L}\p{N}\r\n]*(?>\r\n|[\r\n])"
 UNKNOWN = "unknown"
 #: Words of an n-gram; noisy copies of each statement; steps and penalty of the fit.
 GRAMS, COPIES, STEPS, LASSO = 3, 24, 400, 2e-4
@@ -117,6 +142,24 @@ class Model:
     temperature: float
     templates: list[tuple[int, list[str]]]
 
+    def cues(self) -> list[str]:
+        """Words without which no family can outweigh the unknown one: of all words in n-grams,
+        the common ones are left out as long as the n-grams made of those left out alone have too
+        little weight for any family."""
+        ahead = self.weights[:, :-1] - self.weights[:, -1:]
+        out: set[str] = set()
+        words = {w for g in self.grams for w in g.split() if w not in STOP}
+        for word in sorted(words, key=lambda w: (len(w), w)):
+            some = out | {word}
+            rows = [set(g.split()) <= some | STOP for g in self.grams]
+            most = self.bias[:-1] - self.bias[-1] + np.maximum(ahead[rows], 0).sum(axis=0)
+            if most.max() < 0:
+                out = some
+        cues = words - out
+        # a heading stands for a statement
+        found = [words_of(h) for texts in HEADINGS.values() for h in texts]
+        return sorted(cues | {max(h, key=len) for h in found if not cues & set(h)})
+
 
 def _softmax(x: np.ndarray) -> np.ndarray:
     e = np.exp(x - x.max(axis=1, keepdims=True))
@@ -192,12 +235,38 @@ def _grams(words: Column, n: int) -> Column:
     return F.filter(made, lambda g: g.isNotNull()) if n > 1 else made
 
 
+def _stated(words: Column) -> Column:
+    """The words; of a heading, those of its family's first statement."""
+    line = F.array_join(words, " ")
+    for family, texts in HEADINGS.items():
+        statement = F.array(*[F.lit(w) for w in words_of(TEMPLATES[family][0])])
+        words = F.when(line.isin([" ".join(words_of(h)) for h in texts]), statement).otherwise(words)
+    return words
+
+
+def _tagged(text: Column) -> Column:
+    """For every SPDX identifier that a tag in the text names, its family's first statement."""
+    tags = F.regexp_extract_all(text, F.lit(TAG + r":([^\r\n]*)"), F.lit(1))
+    ids = F.flatten(F.transform(tags, lambda t: F.regexp_extract_all(t, F.lit(r"[a-z0-9.\-]+"), F.lit(0))))
+
+    def statement(id: Column) -> Column:
+        said = F.lit(None).cast("string")
+        for family, form in SPDX.items():
+            said = F.when(id.rlike(f"^{form}$"), F.lit(TEMPLATES[family][0].lower())).otherwise(said)
+        return said
+
+    return F.filter(F.transform(ids, statement), lambda t: t.isNotNull())
+
+
 def paragraphs(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``found``: for every paragraph (line) that holds one of ``ANCHORS``, in order,
-    a struct of family, probability and match, the best template's share of word pairs held."""
+    """``docs`` with ``found``: for every line, and every run of lines up to one that ends a
+    sentence or comes before a line without words, in order, a struct of family, probability,
+    match, the best template's share of word pairs held, and whether it is such a run. Those that
+    hold none of the model's cues are left out, as they can only be unknown."""
+    cues = model.cues()
 
     def anchored(p: Column) -> Column:
-        return reduce(lambda a, b: a | b, [p.contains(x) for x in ANCHORS])
+        return reduce(lambda a, b: a | b, [p.contains(x) for x in cues])
 
     grams = F.from_json(F.lit(json.dumps(model.grams)), "array<string>")
     bias, k = _numbers(model.bias), len(model.families)
@@ -233,15 +302,33 @@ def paragraphs(docs: DataFrame, model: Model) -> DataFrame:
             lambda t: F.size(F.array_intersect(t["pairs"], _grams(words, 2))) / F.size(t["pairs"]),
         )
         return F.struct(
-            family.alias("family"), pair["best"]["p"].alias("p"), F.coalesce(F.array_max(held), F.lit(0.0)).alias("match")
+            family.alias("family"),
+            pair["best"]["p"].alias("p"),
+            F.coalesce(F.array_max(held), F.lit(0.0)).alias("match"),
+            pair["run"].alias("run"),
         )
 
     # most texts end at this test, which is plain search of bytes
     text = F.lower(F.col("text").cast("string"))
-    lines = F.when(anchored(text), F.filter(F.split(text, r"[\r\n]+"), anchored))
+    tagged = text.contains(TAG)
     none = F.array().cast("array<string>")
+    plain = F.when(tagged, F.regexp_replace(text, r"[^\r\n]*" + TAG + r":[^\r\n]*", "\n\n")).otherwise(text)
+    lines = F.filter(F.split(plain, r"[\r\n]+"), anchored)
+    runs = F.filter(F.split(plain, SENTENCES), lambda p: p.rlike(r"[\r\n]") & anchored(p))
+    lines = F.concat(lines, F.when(tagged, _tagged(text)).otherwise(none))
+
+    def words(parts: Column, run: bool) -> Column:
+        def of(p: Column) -> Column:
+            found = F.regexp_extract_all(p, F.lit(WORD), F.lit(0))
+            return F.struct(_stated(found).alias("words"), F.lit(run).alias("run"))
+
+        return F.transform(parts, of)
+
+    parts = F.when(anchored(text) | tagged, F.concat(words(lines, False), words(runs, True)))
     return (
-        docs.withColumn("words", F.transform(F.coalesce(lines, none), lambda p: F.regexp_extract_all(p, F.lit(WORD), F.lit(0))))
+        docs.withColumn("parts", F.coalesce(parts, F.array().cast("array<struct<words:array<string>,run:boolean>>")))
+        .withColumn("words", F.col("parts.words"))
+        .withColumn("run", F.col("parts.run"))
         .withColumn(
             "slots",
             F.transform(
@@ -253,14 +340,17 @@ def paragraphs(docs: DataFrame, model: Model) -> DataFrame:
             ),
         )
         .withColumn("best", F.transform(F.transform("slots", logits), best))
-        .withColumn("found", F.transform(F.arrays_zip("best", "words"), match))
+        .withColumn("found", F.transform(F.arrays_zip("best", "words", "run"), match))
     )
 
 
 def scanned(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """``doc_id, licences, n_paragraphs, n_unconfirmed, score`` of every row of ``docs(doc_id, text)``.
 
-    A paragraph is what stands between line breaks. ``licences`` lists the families, sorted and
+    A paragraph is what stands between line breaks, or a notice wrapped over several lines: a run of
+    lines up to the end of a sentence or a line without words, which counts where none of its
+    lines names its family. Headings of licences that fill a line and SPDX tags stand for their
+    family's first statement. ``licences`` lists the families, sorted and
     joined by commas, that the classifier names with probability ``CERTAIN`` or more and of which a
     template confirms at least ``CONFIRMED``; it is empty if there is none. ``n_paragraphs`` counts
     the paragraphs confirmed, ``n_unconfirmed`` those named only; ``score`` is the greatest
@@ -274,6 +364,18 @@ def scanned(docs: DataFrame, model: Model | None = None) -> DataFrame:
     return (
         paragraphs(rows, model)
         .select("doc_id", named.alias("named"))
+        .withColumn("lines", F.filter("named", lambda x: ~x["run"]))
+        .withColumn("sure", F.filter("lines", lambda x: x["match"] >= CONFIRMED))
+        .withColumn(
+            "runs",
+            F.filter(
+                "named",
+                lambda x: x["run"]
+                & F.when(x["match"] >= CONFIRMED, ~F.array_contains("sure.family", x["family"]))
+                .otherwise(~F.array_contains("lines.family", x["family"])),
+            ),
+        )
+        .withColumn("named", F.concat("lines", "runs"))
         .withColumn("sure", F.filter("named", lambda x: x["match"] >= CONFIRMED))
         .select(
             "doc_id",

@@ -50,3 +50,39 @@ def test_every_statement_is_found_as_its_family(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert licences.scanned(docs).agg(F.count("*")).first()[0] == 0
+
+
+WRAPPED = {
+    "bsd": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:\n\n1. Redistributions of source code must retain the above copyright\n   notice.\n",
+    "gpl": " * This program is free software: you can redistribute it and/or modify\r\n * it under the terms of the GNU General Public License as published by\r\n * the Free Software Foundation, either version 3 of the License, or\r\n * (at your option) any later version.\r\n *\r\n",
+    "agpl": "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU Affero General Public License as published\n# by the Free Software Foundation, either version 3 of the License, or\n# (at your option) any later version.\n",
+    "lgpl": "This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\nLicense as published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version.\n",
+    "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software.\n",
+    "apache": "Licensed under the Apache License,\nVersion 2.0 (the \"License\");\nyou may not use this file except in compliance with the License.\n",
+    "mpl": "// This Source Code Form is subject to the terms of the Mozilla Public\n// License, v. 2.0. If a copy of the MPL was not distributed with this\n// file, You can obtain one.\n",
+}
+
+
+def test_wrapped_notices_headings_and_tags(spark):
+    cases = [(f, t) for f, t in WRAPPED.items()]
+    cases += [(f, "Some words before.\n\n" + t + "\nint main() {}") for f, t in WRAPPED.items()]
+    cases += [(f, f"intro\n\n{h}\n\nmore words") for f, texts in licences.HEADINGS.items() for h in texts]
+    cases += [
+        ("mit", "// SPDX-License-Identifier: MIT\n#include <stdio.h>\nint a;"),
+        ("apache,mit", "x\n# SPDX-License-Identifier: (MIT OR Apache-2.0)\r\ny"),
+        ("gpl", "/* SPDX-License-Identifier: GPL-2.0-or-later WITH Classpath-exception-2.0 */"),
+        ("apache,mit", "Licensed under the MIT License\nLicensed under the Apache License, Version 2.0"),
+        ("", "SPDX-License-Identifier: CC-BY-ND-4.0"), ("", "The gnu\nis free\nto use 2.0 and 3"),
+        ("", "The version\nof the source was moved to the public library. 3"),
+    ]
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: r.licences for r in licences.scanned(docs).collect()}
+    assert [(got[i], t) for i, (_, t) in enumerate(cases)] == cases
+
+
+def test_texts_without_cues_are_unknown():
+    model = licences.fit()
+    cues = set(model.cues())
+    grams = [not cues & set(g.split()) for g in model.grams]
+    ahead = np.maximum((model.weights[:, :-1] - model.weights[:, -1:])[grams], 0).sum(axis=0)
+    assert (model.bias[:-1] - model.bias[-1] + ahead < 0).all()
