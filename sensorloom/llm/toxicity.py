@@ -197,18 +197,19 @@ def regression(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> tuple[np.nda
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, folds: int = FOLDS) -> Model:
     """Learns from ``docs(doc_id, text)`` and ``labels(doc_id, toxic)``: from rows whose crc32 of
-    the id modulo ``folds`` is not 0, of these at most ``sample`` of each label, by crc32. The
-    share of toxic documents is that of all such labels. Without labels of both kinds the listed
+    the id modulo ``folds`` is not 0, of these at most ``sample`` of each label, by crc32, and of
+    the rows of one id and label that with the smallest text. The share of toxic documents is that of all such labels. Without labels of both kinds the listed
     words have the weights below."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     known = known.where("toxic IN (0, 1)").where(fold("doc_id", folds) != 0).distinct()
     shares = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
     order = (F.crc32(F.col("doc_id").cast("string").cast("binary")), "doc_id")
     some = [known.where(F.col("toxic") == y).orderBy(*order).limit(sample) for y in (0, 1)]
-    # at most 2 x ``sample`` rows
+    # at most 2 x ``sample`` rows: of rows with the same id one is enough
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
         F.broadcast(some[0].unionByName(some[1])), "doc_id"
-    ).select("toxic", F.col("text").cast("string").alias("text"))
+    ).select("doc_id", "toxic", F.col("text").cast("string").alias("text"))
+    texts = texts.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("toxic", "text")
 
     def count(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = (Counter(), Counter())

@@ -1,0 +1,10 @@
+from sensorloom.llm import toxicity
+
+
+def test_repeated_rows_of_one_id_weigh_as_one(spark):
+    rows = [(i, f"you are a {'grumblefix' if i % 2 else 'friend'} of number w{i}") for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    once = spark.createDataFrame(rows, "doc_id long, text string")
+    often = spark.createDataFrame(rows + [rows[7]] * 300 + [rows[8]] * 50, "doc_id long, text string")
+    one, many = toxicity.fit(once, labels), toxicity.fit(often, labels)
+    assert many.strengths == one.strengths and abs(many.bias - one.bias) < 1e-6
