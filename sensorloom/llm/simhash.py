@@ -10,6 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sensorloom.llm.common import looked_up, stored, word_spans
 from sensorloom.llm.graph import components
@@ -268,18 +269,33 @@ def representatives(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
     """One row of ``docs``, with all its columns, of each component of near-duplicates: that of
     the smallest doc_id.
 
-    Rows of one doc_id are one document; if several are in question the one with the smallest text
+    Only rows of a component compete for it: of a doc_id with texts in several, those in one where
+    it is the smallest. If several rows of it are then in question, the one with the smallest text
     stays (NULL first). Rows with a NULL doc_id are in no group and stay.
     """
     ids = (
         near_duplicates(docs.select("doc_id", "text"), radius, shingle)
-        .where("doc_id IS NOT NULL")
-        .groupBy(F.col("doc_id").alias("keep_id"))
-        .agg(F.count("*").alias("keep_rows"), F.max(F.col("doc_id") == F.col("component_id")).alias("keep"))
-        .where("keep")
+        .where("doc_id = component_id")
+        .groupBy(F.col("doc_id").alias("keep_id"), F.conv("fingerprint", 16, -10).cast("long").alias("keep_print"))
+        .agg(F.count("*").alias("keep_rows"))
     )
     whole = F.struct(*docs.columns).alias("doc")
-    rows = docs.select(F.col("doc_id").cast("long").alias("keep_id"), whole).join(ids, "keep_id")
+    marked = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("keep_id"), whole)
+
+    def printed(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in source:
+            texts = batch.column("raw").to_pylist()
+            prints = np.array([fingerprint(raw or b"", shingle) for raw in texts], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("keep_id"), batch.column("doc"), pa.array(prints)], ["keep_id", "doc", "keep_print"]
+            )
+
+    schema = T.StructType([*marked.schema.fields, T.StructField("keep_print", T.LongType())])
+    rows = marked.withColumn("raw", F.col("doc.text").cast("string").cast("binary")).mapInArrow(printed, schema)
+    rows = rows.join(ids, ["keep_id", "keep_print"])
+    # an id can be the smallest of several components
+    several = ids.groupBy("keep_id").agg(F.sum("keep_rows").alias("keep_rows"))
+    rows = rows.drop("keep_rows").join(several, "keep_id")
     first = Window.partitionBy("keep_id").orderBy("doc.text")
     again = rows.where("keep_rows > 1").withColumn("at", F.row_number().over(first)).where("at = 1")
     kept = rows.where("keep_rows = 1").select("doc").unionByName(again.select("doc"))

@@ -72,3 +72,10 @@ def test_components(spark):
     expected = {(x, nodes[root[i]]) for i, x in enumerate(nodes) if root[i] != i}
     assert {tuple(r) for r in components(frame).collect()} == expected
     assert components(frame.limit(0)).collect() == []
+
+
+def test_representatives_keep_a_component_whose_id_has_a_copy_elsewhere(spark):
+    a, b = "alpha beta gamma delta epsilon zeta", "one two three four five six seven"
+    rows = [(1, a), (2, a), (2, b)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert answer(simhash.representatives(docs)) == [(1, a), (2, b)]
