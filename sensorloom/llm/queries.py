@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sensorloom.llm import (
+    bytepieces,
     decontam,
     embeddings,
     langid,
@@ -62,6 +63,10 @@ def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op11_bytepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bytepieces.digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_toxicity": op2_toxicity,
@@ -73,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_warc": op9_warc,
     "op10_embeddings": op10_embeddings,
+    "op11_bytepieces": op11_bytepieces,
 }
 
 ORACLES: dict[str, str] = {}
