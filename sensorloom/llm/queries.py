@@ -12,14 +12,17 @@ from sensorloom.llm import (
     embeddings,
     langid,
     licences,
+    manifest,
     maxent,
     mixing,
     simhash,
+    spellings,
     substrings,
     toxicity,
     warc,
 )
 from sensorloom.llm.common import table
+from sensorloom.llm.oracles import ORACLES as ORACLES
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,6 +70,14 @@ def op11_bytepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytepieces.digests(table(spark, sf_dir, "documents"))
 
 
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.verified(table(spark, sf_dir, "documents"))
+
+
+def op13_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spellings.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_toxicity": op2_toxicity,
@@ -79,6 +90,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_warc": op9_warc,
     "op10_embeddings": op10_embeddings,
     "op11_bytepieces": op11_bytepieces,
+    "op12_manifest": op12_manifest,
+    "op13_spellings": op13_spellings,
 }
-
-ORACLES: dict[str, str] = {}

@@ -2,6 +2,8 @@
 
 import base64
 import hashlib
+import re
+import zlib
 
 import numpy as np
 import xxhash
@@ -106,3 +108,86 @@ def close_vectors(rows, least=0.9):
         links[list(pair)] += 1
     root = roots(len(rows), pairs)
     return [(r[0], int(links[i]), rows[root[i]][0], root[i] == i) for i, r in enumerate(rows)]
+
+
+def merkle(rows, tampered=3):
+    """rows: (doc_id, source, lang, n_chars, text) -> sorted (doc_id, leaf, subroot, root, proof
+    hash, folded root, verified)."""
+
+    def h(text):
+        return hashlib.sha256(text.encode()).hexdigest()
+
+    def leaf(values):
+        values = [None if v is None else str(v) for v in values]
+        return h("".join("-" if v is None else f"{len(v.encode())}:{v}" for v in values))
+
+    def runs(nodes):
+        return [nodes[i : i + 8] for i in range(0, len(nodes), 8)]
+
+    def top(nodes):
+        while len(nodes) > 1:
+            nodes = [h("".join(run)) for run in runs(nodes)]
+        return nodes[0]
+
+    def path(nodes, at):
+        out = []
+        while len(nodes) > 1:
+            run, place = runs(nodes)[at // 8], at % 8
+            out.append(("".join(run[:place]), "".join(run[place + 1 :])))
+            nodes, at = [h("".join(run)) for run in runs(nodes)], at // 8
+        return out
+
+    groups = {}
+    for row in rows:
+        groups.setdefault(row[2], []).append((row[0] is not None, row[0] or 0, leaf(row), row))
+    langs = sorted(groups, key=lambda lang: (lang is not None, (lang or "").encode()))
+    for found in groups.values():
+        found.sort(key=lambda x: x[:3])
+    subroots = [top([x[2] for x in groups[lang]]) for lang in langs]
+    out = []
+    for place, lang in enumerate(langs):
+        leaves = [x[2] for x in groups[lang]]
+        for at, (_, _, node, row) in enumerate(groups[lang]):
+            proof = path(leaves, at) + path(subroots, place)
+            touched = row[0] is not None and zlib.crc32(str(row[0]).encode()) % tampered == 0
+            text = row[4] and row[4].encode().lower().decode() if touched else row[4]
+            up = leaf((*row[:4], text))
+            for left, right in proof:
+                up = h(left + up + right)
+            proof = h("".join(left + right for left, right in proof))
+            out.append((row[0], node, subroots[place], top(subroots), proof, up, up == top(subroots)))
+    return sorted(out, key=str)
+
+
+def spellings(rows, rare=97, least=5, often=3):
+    """rows: (doc_id, text) -> sorted (word, form, root, n, n_near, form_n), by all pairs."""
+    count = {}
+    for id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(c.lower() if c < "\x80" else c for c in run)
+            h = zlib.crc32(f"{'' if id is None else id}:{run}".encode())
+            if h % rare == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            count[run] = count.get(run, 0) + 1
+    count = {w: n for w, n in count.items() if len(w) >= least and n >= often}
+
+    def near(a, b):
+        if len(a) > len(b):
+            a, b = b, a
+        if len(a) == len(b):
+            return sum(x != y for x, y in zip(a, b)) == 1
+        return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+    form, size = {}, {}
+    for w in count:
+        found = [v for v in count if abs(len(v) - len(w)) < 2 and near(v, w)]
+        size[w] = len(found)
+        best = min(found, key=lambda v: (-count[v], v), default=None)
+        form[w] = best if best and count[best] >= 2 * count[w] else None
+
+    def root(w):
+        while form[w]:
+            w = form[w]
+        return w
+
+    return sorted((w, form[w], root(w), n, size[w], count.get(form[w])) for w, n in count.items())

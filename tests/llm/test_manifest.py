@@ -1,0 +1,87 @@
+import pytest
+from pyspark.sql import functions as F
+
+import brute
+from sensorloom.llm import manifest
+
+SCHEMA = "doc_id long, source string, lang string, n_chars long, text string"
+
+
+def answer(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def rows_of(sizes):
+    return [
+        (1000 * k + i, None if i % 5 == 0 else f"s{i % 3}", lang, i, f"Text {i} of É {lang}")
+        for k, (lang, n) in enumerate(sizes.items())
+        for i in range(n)
+    ]
+
+
+def test_whole_table_against_brute_force(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = [tuple(r) for r in docs.select(*manifest.FIELDS).collect()]
+    assert answer(manifest.verified(docs)) == brute.merkle(rows)
+
+
+@pytest.mark.parametrize(
+    "sizes",
+    [
+        {"a": 1},
+        {"a": 8, "b": 9, None: 1},
+        {"a": 64, "b": 65, "c": 63, None: 7, "": 2, "é": 3, "z": 1, "zz": 5, "\U0001f642": 4, "｡": 2},
+        {"big": 4097, "small": 1, "mid": 512},
+    ],
+)
+def test_every_shape_of_tree(spark, sizes):
+    rows = rows_of(sizes)
+    docs = spark.createDataFrame(rows, SCHEMA).orderBy(F.hash("doc_id"))
+    assert answer(manifest.verified(docs)) == brute.merkle(rows)
+
+
+@pytest.mark.parametrize("step", [1, 3])
+def test_levels_between_stored_ones(spark, monkeypatch, step):
+    monkeypatch.setattr(manifest, "STEP", step)
+    rows = rows_of({"a": 530, "b": 3, **{f"l{i}": 1 for i in range(11)}})
+    docs = spark.createDataFrame(rows, SCHEMA)
+    assert answer(manifest.verified(docs)) == brute.merkle(rows)
+
+
+def test_hard_cases(spark):
+    rows = [
+        (None, None, None, None, None), (None, "s", "x", 1, "A"), (3, "", "", None, ""),
+        (7, "s", "x", 1, "Same"), (7, "s", "x", 1, "Same"), (7, "s", "x", 2, "Other"),
+        (9, "s", "x", 3, None), (12, "s", "x", 3, "LONG é " * 100_000), *[(5, "s", "x", 1, "Copy")] * 20,
+    ]
+    docs = spark.createDataFrame(
+        [(*row, "n", 0, True, None) for row in rows],
+        SCHEMA + ", node string, pos int, key boolean, `all` string",
+    )
+    assert answer(manifest.verified(docs)) == brute.merkle(rows)
+    assert manifest.verified(docs.limit(0)).collect() == []
+
+
+def test_only_tampered_rows_fail(spark):
+    rows = rows_of({"a": 100, "b": 20})
+    found = manifest.verified(spark.createDataFrame(rows, SCHEMA), tampered=2).collect()
+    import zlib
+
+    assert {r.doc_id for r in found if not r.verified} == {
+        r[0] for r in rows if zlib.crc32(str(r[0]).encode()) % 2 == 0
+    }
+    assert len({r.root for r in found}) == 1
+
+
+def test_levels_between_are_not_stored(spark):
+    leaves = spark.createDataFrame([(b"k", f"{i:064d}", i) for i in range(600)], "key binary, node string, i int")
+    tree = manifest.grown(leaves, ["i"])
+    assert [level.count() for level in tree.levels] == [600, 10]
+    assert tree.tops.count() == 1
+
+
+def test_plan_hands_down_one_row_a_subtree(spark):
+    """No row of a single leaf is shuffled together with its proof."""
+    docs = spark.createDataFrame(rows_of({"a": 700}), SCHEMA)
+    plan = manifest.verified(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "CartesianProduct" not in plan
