@@ -8,6 +8,7 @@ first, the leftmost of equals, which is the order of the ranks. A piece's number
 from __future__ import annotations
 
 import base64
+import codecs
 import struct
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -24,9 +25,10 @@ from pyspark.sql import functions as F
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 #: Letters of the bytes: none is a space or a control character.
-LETTERS = [0x100 + byte for byte in range(256)]
+FIRST = 0x100
+LETTERS = "".join(chr(FIRST + byte) for byte in range(256))
 #: Pre-tokens a worker remembers, and the longest of them in code points. Others are encoded anew.
-REMEMBERED, LONGEST = 1 << 18, 64
+REMEMBERED, LONGEST = 1 << 19, 64
 
 # Field numbers and constants of the published sentencepiece model format.
 PIECES, TRAINER, NORMALIZER = 1, 2, 3
@@ -89,11 +91,11 @@ def serialised(tokens: Sequence[bytes]) -> bytes:
 
 
 def as_letters(raw: bytes) -> str:
-    return raw.decode("latin-1").translate(LETTERS)
+    return codecs.charmap_decode(raw, "strict", LETTERS)[0]
 
 
 def as_bytes(piece: str) -> bytes:
-    return bytes(ord(letter) - LETTERS[0] for letter in piece)
+    return bytes(ord(letter) - FIRST for letter in piece)
 
 
 class Encoder(dict):
@@ -102,13 +104,15 @@ class Encoder(dict):
     def __init__(self, model: bytes, pattern: str):
         self.processor = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.split = regex.compile(pattern).findall
+        self.whole, self.merged = self.processor.piece_to_id, self.processor.encode_as_ids
+        self.unknown = self.processor.unk_id()
 
     def __missing__(self, part: str) -> bytes:
         letters = as_letters(part.encode())
-        whole = self.processor.piece_to_id(letters)
+        whole = self.whole(letters)
         # a pre-token that is itself a token is that token, even where no merges lead to it
-        found = [whole] if whole != self.processor.unk_id() else self.processor.encode(letters)
-        ids = np.array(found, "<i4").tobytes()
+        found = [whole] if whole != self.unknown else self.merged(letters)
+        ids = struct.pack(f"<{len(found)}i", *found)
         if len(part) <= LONGEST:
             if len(self) >= REMEMBERED:
                 self.clear()
