@@ -43,6 +43,35 @@ def encode_alerts(alerts: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return alerts.select(*keep, payload.alias("value"))
 
 
+def message_id(*content: Column) -> Column:
+    """A key that the same content has each time it is sent: the hash of its JSON text."""
+    return F.sha2(json_payload(*content), 256)
+
+
+def keyed_alerts(alerts: DataFrame) -> DataFrame:
+    """Stamped alerts as ``key, value``: the payload, and the same key for the same alert of the
+    same window. The processing time is no part of the key, as a repetition has another."""
+    content = [F.col(c) for c in ("measure", "mean", "status", "notification")]
+    key = message_id(time_text(F.col("window_start")).alias("window_start"), *content)
+    return encode_alerts(alerts.withColumn("key", key), keep=["key"])
+
+
+def without_repeats(messages: DataFrame, key: str = "key", delay: str | None = None) -> DataFrame:
+    """Messages with each key once, for readers of a topic that got some of them twice.
+
+    On a stream, repetitions are looked for as long as ``delay`` after the first by
+    ``publish_time``; no state is kept beyond that. A message without a key is always kept.
+    """
+    if not messages.isStreaming:
+        own = F.when(F.col(key).isNull(), F.uuid())
+        return messages.withColumn("_own", own).dropDuplicates([key, "_own"]).drop("_own")
+    if delay is None:
+        raise ValueError("a stream needs a delay")
+    own = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+    timed = messages.withColumn("_own", own).withWatermark("publish_time", delay)
+    return timed.dropDuplicatesWithinWatermark([key, "_own"]).drop("_own")
+
+
 def encode_readings(readings: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Readings as ``value``, the UTF-8 JSON payload of a sensor message."""
     payload = json_payload(*[F.col(c) for c in READING_FIELDS])

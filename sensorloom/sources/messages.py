@@ -83,12 +83,27 @@ def _parse_once(df: DataFrame, name: str, text: Column, schema: str) -> DataFram
     return df.select("*", F.explode(F.array(record)).alias(name))
 
 
+def _one_object(text: Column) -> Column:
+    """Whether the text, whose first and last signs are braces, is one JSON value and no more.
+
+    The parser stops at the end of the first value and says nothing of what follows it. With one
+    brace of either kind nothing can follow, as the last sign closes the first. Otherwise the text
+    is read twice more: as a value before a sentinel in an object, where only more fields could
+    follow it, and as the item of a list, where only more items could.
+    """
+    flat = (F.locate("{", text, 2) == 0) & (F.locate("}", text) == F.length(text))
+    wrapped = F.concat(F.lit('{"r":'), text, F.lit(',"end":true}'))
+    sentinel = F.get_json_object(wrapped, "$.end") == "true"
+    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+    return flat | F.coalesce(sentinel & alone, F.lit(False))
+
+
 def _parse(df: DataFrame, raw: Column, schema: str) -> tuple[DataFrame, dict[str, Column]]:
     """Parse payloads by ``schema``; gives the frame and an expression per field.
 
-    A payload that is no UTF-8 JSON object keeps its text in ``_corrupt`` and has NULL fields.
-    The rare record that does not fit the schema is parsed again with all fields as text, so
-    that one number in quotes does not void the record.
+    A payload that is no single UTF-8 JSON object, or one without a value for any field, keeps its
+    text in ``_corrupt`` and has NULL fields. The rare record that does not fit the schema is
+    parsed again with all fields as text, so that one number in quotes does not void the record.
     """
     fields = dict(field.split() for field in schema.split(", "))
     text, strict, lenient = F.col("_text"), F.col("_strict"), F.col("_lenient")
@@ -96,12 +111,14 @@ def _parse(df: DataFrame, raw: Column, schema: str) -> tuple[DataFrame, dict[str
     def braced(value: Column) -> Column:
         return value.startswith("{") & value.endswith("}")
 
-    is_object = braced(text) | braced(F.trim(text, F.lit(" \t\r\n")))
+    bare = F.when(braced(text), text).otherwise(F.trim(text, F.lit(" \t\r\n")))
+    is_object = braced(bare) & _one_object(bare)
     df = df.withColumn("_text", raw.cast("string"))
     df = _parse_once(df, "_strict", F.when(F.is_valid_utf8(text) & is_object, text), schema)
     retry = F.when(strict[CORRUPT].isNotNull(), text)
     df = _parse_once(df, "_lenient", retry, schema.replace("double", "string"))
-    broken = strict.isNull() | lenient[CORRUPT].isNotNull()
+    read = F.coalesce(*[record[f].cast("string") for record in (strict, lenient) for f in fields])
+    broken = strict.isNull() | lenient[CORRUPT].isNotNull() | read.isNull()
     df = df.withColumn(
         CORRUPT, F.when(broken, F.coalesce(F.make_valid_utf8(text), F.lit("")))
     )

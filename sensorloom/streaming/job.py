@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.job import Settings, Sinks, archive_rows, stamped_means, window_outputs
-from ..sinks.metrics import observe_parsed
-from ..sources.messages import bad_readings, parse_messages
+from ..plans.job import Settings, Sinks, stamped_means, window_outputs, write_readings
+from ..sources.messages import parse_messages
 
 EVERY_TEN_SECONDS = {"processingTime": "10 seconds"}
 
@@ -32,43 +31,50 @@ def start_job(
 ) -> dict[str, StreamingQuery]:
     """Start the queries the sinks ask for, each with its own checkpoint.
 
-    All window outputs come from one aggregation and one state store: every micro-batch of
-    closed windows is kept for as long as its outputs are written.
+    ``readings`` writes archive, rejects and counts from one parse of each micro-batch; ``windows``
+    is the second reader of the source. All window outputs come from one aggregation and one state
+    store: every micro-batch of closed windows is kept for as long as its outputs are written.
     """
     root = f"{checkpoint_root(messages, checkpoint)}/{name}"
     parsed = parse_messages(messages, settings.event_time)
     queries: dict[str, StreamingQuery] = {}
-    if sinks.archive:
-        counted = observe_parsed(parsed)
-        rows = archive_rows(counted, settings, sinks.archive)
-        queries["archive"] = sinks.archive.start(
-            rows, f"{root}/archive", f"{name}_archive", trigger
-        )
-    if sinks.rejects:
-        queries["rejects"] = sinks.rejects.start(
-            bad_readings(parsed), f"{root}/rejects", f"{name}_rejects", trigger
-        )
-    if sinks.windowed():
-        queries["windows"] = (
-            stamped_means(parsed, settings, watermark=True)
-            .writeStream.outputMode("append")
-            .queryName(f"{name}_windows")
-            .option("checkpointLocation", f"{root}/windows")
+
+    def started(output: str, rows: DataFrame, write: Callable[[DataFrame, int], None]) -> None:
+        queries[output] = (
+            rows.writeStream.outputMode("append")
+            .queryName(f"{name}_{output}")
+            .option("checkpointLocation", f"{root}/{output}")
             .trigger(**trigger)
-            .foreachBatch(_write_windows(sinks, settings))
+            .foreachBatch(write)
             .start()
         )
+
+    if sinks.read():
+        started("readings", parsed, _write_readings(sinks, settings))
+    if sinks.windowed():
+        started("windows", stamped_means(parsed, settings, watermark=True), _write_windows(sinks, settings))
     return queries
 
 
+def _query_id(batch: DataFrame) -> str:
+    """The number of the query that runs this batch; it outlives a restart."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
+def _write_readings(sinks: Sinks, settings: Settings):
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_readings(batch, sinks, settings, _query_id(batch), batch_id)
+
+    return write
+
+
 def _write_windows(sinks: Sinks, settings: Settings):
     def write(batch: DataFrame, batch_id: int) -> None:
-        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         batch.persist()
         try:
             if not batch.isEmpty():
                 for sink, rows in window_outputs(batch, settings, sinks):
-                    sink.put_batch(rows, query_id, batch_id)
+                    sink.put_batch(rows, _query_id(batch), batch_id)
         finally:
             batch.unpersist()
 

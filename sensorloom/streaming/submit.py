@@ -15,7 +15,7 @@ from sensorloom.sinks.tables import Sink
 from sensorloom.sources.messages import read_messages
 from sensorloom.streaming.job import run_to_end, start_job
 
-OUTPUTS = ("archive", "alerts", "merged", "summary", "outbox", "metrics", "rejects")
+OUTPUTS = ("archive", "alerts", "merged", "summary", "outbox", "metrics", "rejects", "counts")
 
 
 def key_value(text: str) -> tuple[str, str]:
@@ -47,6 +47,7 @@ def arguments(argv: Sequence[str] | None = None) -> tuple[argparse.Namespace, li
     parser.add_argument("--places", type=int, help="decimal places means are rounded to")
     parser.add_argument("--checkpoint")
     parser.add_argument("--trigger", default="10 seconds", help="an interval, or 'available-now'")
+    parser.add_argument("--run-id", help="of a batch run: a repetition under it replaces the first")
     parser.add_argument("--batch", action="store_true", help="read the source once, as a table")
     return parser.parse_known_args(argv)
 
@@ -101,7 +102,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         spark, args.source_format, args.source_path, dict(args.source_option), not args.batch
     )
     if args.batch:
-        run_batch(messages, sinks, settings_of(args))
+        run_batch(messages, sinks, settings_of(args), args.run_id)
         return
     trigger = (
         {"availableNow": True}

@@ -15,7 +15,7 @@ from sensorloom.plans.publish import publish_history
 from sensorloom.plans.views import dashboard_series
 from sensorloom.schemas import ARCHIVE_SCHEMA, READING_FIELDS, SUMMARY_SCHEMA
 from sensorloom.session import ensure_checkpoint_dir
-from sensorloom.sinks.metrics import observe_parsed, observed
+from sensorloom.sinks.metrics import observe_parsed, totals
 from sensorloom.sinks.tables import Sink, conform, print_rows
 from sensorloom.sources.history import read_readings_csv
 from sensorloom.sources.messages import (
@@ -29,7 +29,7 @@ from sensorloom.streaming.job import checkpoint_root, run_to_end, start_job
 from sensorloom.streaming.submit import arguments, main, settings_of, sink_of, sinks_of
 
 DRAIN = {"availableNow": True}
-OUTPUTS = ("archive", "alerts", "merged", "summary", "outbox", "metrics", "rejects")
+OUTPUTS = ("archive", "alerts", "merged", "summary", "outbox", "metrics", "rejects", "counts")
 EXACT = Settings(places=6)
 
 
@@ -105,7 +105,7 @@ def test_batch_job(spark, day, tmp_path):
 
 
 def test_flat_merged_message(spark, make_readings):
-    means = stamp(window_means(make_readings(("a", "10:00:01", 45, None, 16))))
+    means = stamp(window_means(make_readings(("a", "10:00:01", 45, None, 16))), F.timestamp_seconds(F.lit(0)))
     sent = merged_messages(means, Settings(merged="flat")).collect()
     assert [json.loads(r.value.decode()) for r in sent] == [
         {
@@ -120,6 +120,7 @@ def test_flat_merged_message(spark, make_readings):
             "pressure_notification": None,
             "m_notification": "Error! Machine is not working properly, the motor power is way out "
             "of the optimum range. Help is needed.",
+            "mpower_processingTime": "1970-01-01 00:00:00.000000",
         }
     ]
 
@@ -189,9 +190,8 @@ def test_stream_equals_batch(spark, day, sentinel, tmp_path):
     assert read(spark, tmp_path, "rejects").count() == 2
     folders = [p.name for p in (tmp_path / "alerts").iterdir() if p.is_dir()]
     assert folders == [f"query_id={queries['windows'].id}"]
-    counted = observed(queries["archive"])
-    assert sum(m["messages"] for m in counted) == day.count() + 3
-    assert sum(m["rejected"] for m in counted) == 2
+    counted = totals(sinks.counts.read(spark)).first()
+    assert tuple(counted) == (day.count() + 3, 2, 0)
 
     # A restart from the checkpoints finds nothing new and writes nothing twice.
     before = {o: read(spark, tmp_path, o).count() for o in OUTPUTS}
@@ -304,10 +304,11 @@ def test_append_to_a_table(spark, make_readings, tmp_path):
 
 
 def test_observation_of_a_table(spark):
-    df = spark.createDataFrame([(bytearray(b"{}"),), (bytearray(b"x"),)], "data binary")
+    rows = [(bytearray(b'{"id": "a"}'),), (bytearray(b"x"),)]
+    df = spark.createDataFrame(rows, "data binary")
     seen = Observation("parsed")
     observe_parsed(parse_messages(df), seen).write.format("noop").mode("overwrite").save()
-    assert seen.get == {"messages": 2, "rejected": 1}
+    assert seen.get == {"messages": 2, "rejected": 1, "untimed": 1}
 
 
 def test_print_sink(spark, sentinel, tmp_path, capsys):
