@@ -185,7 +185,9 @@ def digests(docs: DataFrame, path: str | Path = VOCABULARY, pattern: str = PATTE
     own; other columns, whatever their names, are left out.
     """
     pieces = BytePieces.read(path, pattern)
-    rows = docs.select("doc_id", pieces.encode(F.col("text")).alias("ids"))
+    # a list of one, exploded, keeps the optimizer from encoding once more inside of the decoding
+    ids = F.explode(F.array(pieces.encode(F.col("text")))).alias("ids")
+    rows = docs.select("doc_id", ids)
     decimals = F.array_join(F.col("ids").cast("array<string>"), " ")
     return rows.select(
         "doc_id",

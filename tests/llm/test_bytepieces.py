@@ -119,3 +119,9 @@ def test_faulty_vocabularies(tmp_path):
     path.write_bytes(b"YQ== 0\nYg== 1\n")
     with pytest.raises(ValueError, match="254 bytes"):
         bytepieces.read_vocabulary(path)
+
+
+def test_texts_are_encoded_once(spark):
+    docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    plan = bytepieces.digests(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ids(cast(text") == 1 and plan.count("ArrowEvalPython") == 2, plan
