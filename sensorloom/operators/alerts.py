@@ -62,13 +62,12 @@ def without_repeats(messages: DataFrame, key: str = "key", delay: str | None = N
     On a stream, repetitions are looked for as long as ``delay`` after the first by
     ``publish_time``; no state is kept beyond that. A message without a key is always kept.
     """
+    own = messages.withColumn("_own", F.when(F.col(key).isNull(), F.uuid()))
     if not messages.isStreaming:
-        own = F.when(F.col(key).isNull(), F.uuid())
-        return messages.withColumn("_own", own).dropDuplicates([key, "_own"]).drop("_own")
+        return own.dropDuplicates([key, "_own"]).drop("_own")
     if delay is None:
         raise ValueError("a stream needs a delay")
-    own = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
-    timed = messages.withColumn("_own", own).withWatermark("publish_time", delay)
+    timed = own.withWatermark("publish_time", delay)
     return timed.dropDuplicatesWithinWatermark([key, "_own"]).drop("_own")
 
 

@@ -109,11 +109,15 @@ class Sink:
         finally:
             spark.catalog.dropTempView(view)
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        """All rows written to the path or table, by whichever runs, without the columns of ``RUN``."""
+    def read(self, spark: SparkSession, schema: T.StructType | str | None = None) -> DataFrame:
+        """All rows written to the path or table, by whichever runs, without the columns of ``RUN``.
+
+        A path that may hold no row yet needs the ``schema``, as there is no file to take it from.
+        """
         if not (self.table or self.path):
             raise ValueError(f"a sink of format {self.format} can't be read back")
         reader = spark.read.format(self.format).options(**self.options)
+        reader = reader.schema(schema) if schema else reader
         return (spark.table(self.table) if self.table else reader.load(self.path)).drop(*RUN)
 
     def start(
