@@ -11,6 +11,12 @@ def pair(key: str, value: Column) -> Column:
     return F.struct(F.lit(key).alias("k"), value.cast("string").alias("v"))
 
 
+def typed_pair(key: str, value: Column) -> Column:
+    """One ``(k, v)`` pair whose value keeps its type, as VARIANT: still any field fits one
+    collection, and a number stays a number."""
+    return F.struct(F.lit(key).alias("k"), value.cast("variant").alias("v"))
+
+
 def last_wins(pairs: Column) -> Column:
     """The pairs of an array with every key kept once, in its last occurrence.
 

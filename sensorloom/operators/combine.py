@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.grading import DEFAULT_RANGES, StatusRange, per_measure
@@ -117,16 +117,30 @@ def combine_pairs(
 ) -> DataFrame:
     """All pairs of a group as one map ``record``; of a repeated key the later value wins.
 
-    Later is the greater ``order``, then the greater value, so that the result does not depend
-    on how rows arrive. Values are reduced per key before any list is built: the list of a group
-    is as long as its record has fields, however many pairs the group holds.
+    Later is the greater ``order``; of equal ones the greater value wins, or the greater JSON text
+    of a VARIANT. Without an order a repeated key is an error, as rows come in none. Values are
+    reduced per key before any list is built: the list of a group is as long as its record has
+    fields, however many pairs the group holds.
     """
-    latest = F.max(F.struct(order, "v"))["v"] if order else F.max("v")
+    return _combined(pairs, keys, order, F.struct("k", "v"))
+
+
+def _combined(
+    pairs: DataFrame, keys: Sequence[str], order: str | None, entry: Column
+) -> DataFrame:
+    if order is None:
+        message = F.concat(F.lit("no order is given and this key repeats: "), F.col("k"))
+        repeated = F.when((F.count("k") > 1), F.raise_error(message))
+        value = F.when(repeated.isNull(), F.first("v"))
+    elif pairs.schema["v"].dataType.typeName() == "variant":
+        value = F.max_by("v", F.struct(order, F.to_json("v")))
+    else:
+        value = F.max(F.struct(order, "v"))["v"]
     return (
         pairs.groupBy(*keys, "k")
-        .agg(latest.alias("v"))
+        .agg(value.alias("v"))
         .groupBy(*keys)
-        .agg(F.map_from_entries(F.collect_list(F.struct("k", "v"))).alias("record"))
+        .agg(F.map_from_entries(F.collect_list(entry)).alias("record"))
     )
 
 
@@ -136,7 +150,8 @@ def merge_records(
     keys: Sequence[str] = WINDOW,
     order: str | None = None,
 ) -> DataFrame:
-    """All map records of a group as one; of a repeated key the later value wins."""
+    """All map records of a group as one; of a repeated key the later value wins, as in
+    ``combine_pairs``. A group whose records are all empty, or NULL, has an empty record."""
     carried = [order] if order else []
-    entries = records.select(*keys, *carried, F.explode(record).alias("k", "v"))
-    return combine_pairs(entries, keys, order)
+    entries = records.select(*keys, *carried, F.explode_outer(record).alias("k", "v"))
+    return _combined(entries, keys, order, F.when(F.col("k").isNotNull(), F.struct("k", "v")))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import MEASURES
@@ -12,6 +12,9 @@ from ..session import ensure_checkpoint_dir
 from .measures import union_all
 from .windows import WINDOW, WINDOW_LENGTH, assign_windows, window_means
 
+# Values that the list of one key and frame may have.
+MOST = 1_000_000
+
 # A row of window means takes about 64 bytes in a broadcast relation: at most 32 MB.
 BROADCAST_ROWS = 500_000
 
@@ -36,7 +39,8 @@ def cogroup_measures(
 def cogroup(
     frames: Mapping[str, DataFrame], keys: Sequence[str] = WINDOW, value: str = "mean"
 ) -> DataFrame:
-    """Full outer co-group of frames that hold at most one row per key, one column per frame.
+    """Full outer co-group of frames that hold at most one row per key, one column per frame; the
+    greatest value where a frame has more. ``cogroup_lists`` keeps them all.
 
     A union and one grouping shuffle every frame once, where a chain of full outer joins
     shuffles the growing result again at each step.
@@ -50,6 +54,114 @@ def cogroup(
     return union_all(*tagged).groupBy(*keys).agg(*[F.max(n).alias(n) for n in frames])
 
 
+def cogroup_lists(
+    frames: Mapping[str, DataFrame],
+    keys: Sequence[str] = WINDOW,
+    value: str = "mean",
+    most: int = MOST,
+) -> DataFrame:
+    """Full outer co-group that keeps every value: a sorted list per frame and key, NULL values
+    first, empty where a frame has none of the key.
+
+    The lists of a key are one row, so their length has a bound. A table is counted before any
+    list is built, and a key with over ``most`` values in a frame is an error that names it. The
+    frames of a stream carry a watermark, and their keys hold the window: its lists are kept until
+    it closes, and are checked then.
+    """
+    tagged = [
+        frame.select(*keys, F.lit(name).alias("_frame"), F.struct(F.col(value).alias("v")).alias("_v"))
+        for name, frame in frames.items()
+    ]
+    return _listed(union_all(*tagged), keys, {n: F.col("_frame") == n for n in frames}, most)
+
+
+def cogroup_values(
+    readings: DataFrame,
+    measures: Sequence[str] = MEASURES,
+    length: str = WINDOW_LENGTH,
+    event_time: str = "event_time",
+    delay: str | None = None,
+    most: int = MOST,
+) -> DataFrame:
+    """All values of every measure per window, on a table or a stream: the same co-group for
+    measures that come in one frame, from a single scan. NULL is no value of a measure."""
+    rows = readings.filter(F.col(event_time).isNotNull() & F.coalesce(*measures).isNotNull())
+    if rows.isStreaming:
+        rows = rows.withWatermark(event_time, delay) if delay is not None else rows
+        rows = rows.withColumn("_window", F.window(event_time, length))
+        keys, bounds = ["_window"], [F.col(f"_window.{b}").alias(f"window_{b}") for b in ("start", "end")]
+    else:
+        rows, keys, bounds = assign_windows(rows, length, event_time), [*WINDOW], [*WINDOW]
+    each = F.explode(
+        F.array(*[F.struct(F.lit(m).alias("_frame"), F.struct(F.col(m).alias("v")).alias("_v")) for m in measures])
+    )
+    values = rows.select(*keys, each.alias("_each")).select(*keys, "_each.*")
+    values = values.filter(F.col("_v.v").isNotNull())
+    lists = _listed(values, keys, {m: F.col("_frame") == m for m in measures}, most)
+    return lists.select(*bounds, *measures)
+
+
+def _listed(
+    rows: DataFrame, keys: Sequence[str], sides: Mapping[str, Column], most: int
+) -> DataFrame:
+    """The values ``_v`` of each key as one sorted list per side."""
+    name = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
+    if not rows.isStreaming:
+        sizes = [F.count(F.when(side, 1)) for side in sides.values()]
+        largest = F.greatest(*sizes) if len(sizes) > 1 else sizes[0]
+        counted = rows.groupBy(*keys).agg(largest.alias("_n")).filter(F.col("_n") > most)
+        if found := counted.select(name.alias("key"), "_n").head():
+            raise ValueError(f"{found['_n']} values for {found['key']}: more than {most}")
+    lists = [F.sort_array(F.collect_list(F.when(side, F.col("_v")))).alias(n) for n, side in sides.items()]
+    rows = rows.groupBy(*keys).agg(*lists)
+    error = F.raise_error(F.concat(F.lit(f"more than {most} values for "), name))
+    return rows.select(
+        *keys, *[F.when(F.size(n) > most, error).otherwise(F.col(f"{n}.v")).alias(n) for n in sides]
+    )
+
+
+def enrich_stream(
+    readings: DataFrame,
+    measure: str,
+    length: str = WINDOW_LENGTH,
+    event_time: str = "event_time",
+    delay: str = "0 seconds",
+    places: int | None = None,
+) -> DataFrame:
+    """Every reading of a stream with the mean of its window in ``window_mean``; NULL where there
+    is none. The rows of ``enrich_with_window``, each as soon as its window has closed.
+
+    The readings are joined to the means of the same stream, two watermarks and a time range apart:
+    a reading is kept until its window's mean can no longer come, a mean until no reading of its
+    window can. A reading too late for its window is too late for the join. Readings without an
+    event time wait for nothing and keep no state.
+    """
+    placed = assign_windows(readings, length, event_time)
+    untimed = placed.filter(F.col(event_time).isNull())
+    timed = readings.filter(F.col(event_time).isNotNull()).withWatermark(event_time, delay)
+    value = F.avg(measure)
+    means = (
+        timed.groupBy(F.window(event_time, length).alias("_window"))
+        .agg((value if places is None else F.round(value, places)).alias("window_mean"))
+        .select(
+            F.window_time("_window").alias("_last"),
+            F.col("_window.start").alias("_start"),
+            "window_mean",
+        )
+    )
+    left = assign_windows(timed, length, event_time)
+    # a literal, which Spark must see to know how far apart the watermarks may be
+    step = F.expr(f"INTERVAL '{length.removeprefix('interval ')}'")
+    same = (
+        (F.col("window_start") == F.col("_start"))
+        & (F.col(event_time) <= F.col("_last"))
+        & (F.col(event_time) > F.col("_last") - step)
+    )
+    joined = left.join(means, same, "left_outer").drop("_start", "_last")
+    nothing = joined.schema["window_mean"].dataType
+    return joined.unionByName(untimed.withColumn("window_mean", F.lit(None).cast(nothing)))
+
+
 def enrich_with_window(
     readings: DataFrame,
     measure: str,

@@ -1,0 +1,149 @@
+"""Co-groups that keep every value, the look-up on streams, and typed records."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from sensorloom.functions.records import pair, typed_pair
+from sensorloom.operators.combine import combine_pairs, merge_records
+from sensorloom.operators.joins import cogroup_lists, cogroup_values, enrich_stream, enrich_with_window
+
+DRAIN = {"availableNow": True}
+
+
+def bag(df):
+    return sorted(map(str, df.collect()))
+
+
+def drained(rows, folder):
+    query = (
+        rows.writeStream.format("parquet").option("path", str(folder / "out"))
+        .option("checkpointLocation", str(folder / "cp")).trigger(**DRAIN).start()
+    )
+    query.awaitTermination()
+    return query, rows.sparkSession.read.parquet(str(folder / "out"))
+
+
+def stream_of(spark, schema, folder, *parts):
+    """One micro-batch for every part, in order."""
+    for number, part in enumerate(parts):
+        part.coalesce(1).write.parquet(f"{folder}/in/{number}")
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in/*")
+
+
+def test_every_value_of_every_frame(spark):
+    def frame(*rows):
+        return spark.createDataFrame(rows, "w int, mean double")
+
+    frames = {"t": frame((1, 9.0), (1, 2.0), (1, 2.0), (2, None)), "p": frame((3, 1.0), (1, 4.0)), "m": frame()}
+    got = {r.w: (r.t, r.p, r.m) for r in cogroup_lists(frames, ["w"]).collect()}
+    assert got == {1: ([2.0, 2.0, 9.0], [4.0], []), 2: ([None], [], []), 3: ([], [1.0], [])}
+    with pytest.raises(ValueError, match="3 values for 1: more than 2"):
+        cogroup_lists(frames, ["w"], most=2)
+    texts = {"a": spark.createDataFrame([(1, "x"), (1, "b")], "w int, mean string")}
+    assert cogroup_lists(texts, ["w"]).first().a == ["b", "x"]
+
+
+def test_a_null_key_is_a_key(spark):
+    frames = {n: spark.createDataFrame([(None, v)], "w int, mean int") for n, v in (("a", 1), ("b", 2))}
+    assert [tuple(r) for r in cogroup_lists(frames, ["w"]).collect()] == [(None, [1], [2])]
+
+
+def test_values_of_windows_on_tables_and_streams(spark, make_readings, tmp_path):
+    first = make_readings(("a", "10:00:01", 45, None, 12), ("b", "10:00:31", 44, None, 16), ("n", None, 1, 1, 1))
+    second = make_readings(("c", "10:01:00", None, 59, None), ("d", "10:02:00", None, None, None), ("e", "10:01:30", 45, 59, None))
+    sentinel = make_readings(("s", "10:20:00", 1, 1, 1))
+    table = cogroup_values(first.unionByName(second))
+    got = {str(r.window_start)[11:16]: (r.temperature, r.pressure, r.motor_power) for r in table.collect()}
+    assert got == {"10:00": ([44.0, 45.0], [], [12.0, 16.0]), "10:01": ([45.0], [59.0, 59.0], [])}
+    stream = stream_of(spark, first.schema, tmp_path, first, second, sentinel)
+    _, rows = drained(cogroup_values(stream, delay="0 seconds"), tmp_path)
+    assert bag(rows) == bag(table)
+    with pytest.raises(ValueError, match="more than 1"):
+        cogroup_values(first, most=1)
+    bounded = cogroup_values(stream, delay="0 seconds", most=1)
+    with pytest.raises(Exception, match="more than 1 values"):
+        drained(bounded, tmp_path / "bounded")
+
+
+def test_frames_of_a_stream(spark, make_readings, tmp_path):
+    rows = make_readings(("a", "10:00:01", 45, 60, 12), ("b", "10:00:31", 44, 61, 16))
+    sentinel = make_readings(("s", "10:20:00", 1, 1, 1))
+
+    def frames(readings):
+        timed = readings.withWatermark("event_time", "0 seconds").withColumn("w", F.window("event_time", "1 minute"))
+        return {m: timed.select("w", F.col(m).alias("mean")) for m in ("temperature", "pressure")}
+
+    stream = stream_of(spark, rows.schema, tmp_path, rows, sentinel)
+    _, found = drained(cogroup_lists(frames(stream), ["w"]), tmp_path)
+    assert bag(found) == bag(cogroup_lists(frames(rows), ["w"]))
+
+
+def test_look_up_on_a_stream(spark, make_readings, tmp_path):
+    """The rows of the table form; a window without a value has NULL, and state does not stay."""
+    parts = [
+        make_readings(*[(f"a{i}", f"10:0{i % 4}:{i:02}", 40 + i, 60, 12) for i in range(20)]),
+        make_readings(("n1", "10:05:00", None, 60, 12), ("n2", "10:05:30", None, 60, 12), ("u", None, 45, 60, 12)),
+        make_readings(*[(f"b{i}", f"10:1{i % 3}:{i:02}", 30 + i, 60, 12) for i in range(20)]),
+    ]
+    sentinels = [make_readings(("s1", "11:00:00", 1, 1, 1)), make_readings(("s2", "12:00:00", 1, 1, 1))]
+    stream = stream_of(spark, parts[0].schema, tmp_path, *parts, *sentinels)
+    query, rows = drained(enrich_stream(stream, "temperature", places=6), tmp_path)
+    whole = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    columns = ["id", "temperature", "window_start", "window_end", "window_mean"]
+    expected = enrich_with_window(whole, "temperature", places=6).select(*columns)
+    assert bag(rows.where("id NOT LIKE 's%'").select(*columns)) == bag(expected)
+    assert {r.id: r.window_mean for r in rows.collect()}["n1"] is None
+    assert rows.count() == 44  # the last sentinel waits for its window
+    kept = sum(operator.numRowsTotal for operator in query.lastProgress.stateOperators)
+    assert kept <= 3
+
+
+def test_late_readings_of_the_look_up(spark, make_readings, tmp_path):
+    parts = [
+        make_readings(("a", "10:00:01", 45, 60, 12)), make_readings(("b", "10:30:00", 45, 60, 12)),
+        make_readings(("c", "10:40:00", 45, 60, 12)), make_readings(("late", "10:00:02", 99, 60, 12), ("d", "11:00:00", 1, 1, 1)),
+        make_readings(("s", "12:00:00", 1, 1, 1)),
+    ]
+    stream = stream_of(spark, parts[0].schema, tmp_path, *parts)
+    _, rows = drained(enrich_stream(stream, "temperature"), tmp_path)
+    assert {r.id: r.window_mean for r in rows.collect()} == {"a": 45.0, "b": 45.0, "c": 45.0, "d": 1.0}
+
+
+def test_a_repeated_key_needs_an_order(spark):
+    rows = spark.createDataFrame([(1, 1, "a", "9"), (1, 2, "a", "10")], "w int, at int, k string, v string")
+    with pytest.raises(Exception, match="this key repeats: a"):
+        combine_pairs(rows, ["w"]).collect()
+    assert combine_pairs(rows, ["w"], "at").first().record == {"a": "10"}
+    records = rows.select("w", "at", F.create_map("k", "v").alias("record"))
+    with pytest.raises(Exception, match="this key repeats: a"):
+        merge_records(records, keys=["w"]).collect()
+    assert merge_records(records, keys=["w"], order="at").first().record == {"a": "10"}
+
+
+def test_values_keep_their_types(spark):
+    rows = spark.range(3).select(
+        F.lit(1).alias("w"), F.col("id").alias("at"),
+        F.inline(F.array(typed_pair("n", F.col("id") + 8), typed_pair("t", F.concat(F.lit("x"), F.col("id").cast("string"))),
+                         typed_pair("none", F.lit(None).cast("double")))),
+    )
+    record = combine_pairs(rows, ["w"], "at").select(F.explode("record")).select(
+        "key", F.schema_of_variant("value").alias("kind"), F.to_json("value").alias("text")
+    )
+    # a NULL value is later than none, and stays a NULL
+    assert {tuple(r) for r in record.collect()} == {("n", "BIGINT", "10"), ("t", "STRING", '"x2"'), ("none", None, None)}
+    ties = rows.withColumn("at", F.lit(0))
+    assert "9" in {r.text for r in combine_pairs(ties, ["w"], "at").select(F.explode("record")).select(F.to_json("value").alias("text")).collect()}
+
+
+def test_empty_records_keep_their_group(spark):
+    rows = spark.createDataFrame(
+        [(1, {}), (1, {"a": "1"}), (2, {}), (2, {}), (3, None)], "w int, record map<string,string>"
+    )
+    got = {r.w: r.record for r in merge_records(rows, keys=["w"]).collect()}
+    assert got == {1: {"a": "1"}, 2: {}, 3: {}}
+
+
+def test_a_pair_without_a_key_is_an_error(spark):
+    rows = spark.range(1).select("id", F.inline(F.array(pair("a", F.lit(1))))).withColumn("k", F.lit(None).cast("string"))
+    with pytest.raises(Exception, match="(?i)null"):
+        combine_pairs(rows, ["id"]).collect()
