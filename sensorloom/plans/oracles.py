@@ -243,3 +243,131 @@ ORACLES: dict[str, str] = {
         "SELECT window_start, window_end, temperature, pressure, motor_power FROM w"
     ),
 }
+
+# Payloads in the forms that senders get wrong, by the number of the row; then what is read of them.
+GOOD = (
+    """'{"id":"' || id || '",' || body || '}'"""
+)
+BODY = """'"time":"' || time || '","temperature":' || {t} || ',"pressure":' || {p} || ',"motor_power":' || {m}"""
+TEXTS = {m: f"CAST({m} AS VARCHAR)" for m in LIMITS}
+
+
+def body(**changed: str) -> str:
+    v = {**TEXTS, **changed}
+    return BODY.format(t=v["temperature"], p=v["pressure"], m=v["motor_power"])
+
+
+REJECTED = {
+    0: f"{GOOD} || ' and more {{}}'",
+    1: f"{GOOD} || {GOOD}",
+    2: f"{GOOD} || ',\"x\":{{\"y\":1}}'",
+    3: f"'[' || {GOOD} || ']'",
+    4: """'{"number":' || id || '}'""",
+    12: f"({GOOD})[:-2]",
+}
+PAYLOADS = (
+    f"SELECT *, CAST(id AS BIGINT) % 16 AS kind, {body()} AS body FROM r"
+)
+PARSED = (
+    "SELECT kind, CASE kind "
+    + " ".join(f"WHEN {kind} THEN {text}" for kind, text in REJECTED.items())
+    + " END AS rejected, id, CASE kind WHEN 9 THEN 'soon' ELSE time END AS time, "
+    "CASE WHEN kind IN (6, 8, 9) THEN NULL ELSE motor_power END AS motor_power, "
+    "CASE WHEN kind = 6 THEN NULL ELSE pressure END AS pressure, "
+    "CASE WHEN kind IN (6, 7, 9) THEN NULL ELSE temperature END AS temperature, "
+    f"CASE WHEN kind <> 9 THEN ts END AS event_time FROM ({PAYLOADS})"
+)
+READ = ", ".join(
+    f"CASE WHEN rejected IS NULL THEN {c} END AS {c}"
+    for c in ("id", "time", "motor_power", "pressure", "temperature", "event_time")
+)
+
+# The stream of a replay: eight days to a delivery; what comes too late is left out, and so is what
+# the last watermark does not close.
+ON_TIME = "NOT (CAST(id AS BIGINT) % 40 = 0 AND day(ts) <= 8)"
+CLOSED = "window_end <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 10 MINUTE FROM r)"
+REPLAYED = (
+    f"WITH r AS ({READINGS}), w AS (SELECT * FROM ({means().replace('FROM r', f'FROM r WHERE {ON_TIME}')}) "
+    f"WHERE {CLOSED}), a AS ({alerts()}) "
+)
+KEY = (
+    """sha256('{"window_start":"' || strftime(window_start, '%Y-%m-%d %H:%M:%S.%f') || '","measure":"' """
+    """|| measure || '","mean":' || CAST(mean AS VARCHAR) || ',"status":"' || status || '","notification":"' """
+    """|| notification || '"}')"""
+)
+
+HOURLY_VALUES = with_readings(
+    "SELECT window_start, measure, CAST(row_number() OVER (PARTITION BY window_start, measure ORDER BY value) - 1 "
+    "AS INTEGER) AS place, value FROM ("
+    + " UNION ALL ".join(
+        f"SELECT {bucket(60)} AS window_start, '{m}' AS measure, {m} AS value FROM r "
+        f"WHERE event_type <> '{kind}'"
+        for m, kind in SILENT.items()
+    )
+    + ")"
+)
+
+
+def latest(minutes: int, entries: str, windows: str = "") -> str:
+    """The last entry of every key in each window; ``windows`` are those without entries."""
+    return with_readings(
+        f"SELECT window_start, window_end, k, kind, v FROM (SELECT *, row_number() OVER "
+        f"(PARTITION BY window_start, k ORDER BY ts DESC, number DESC) AS place FROM (SELECT {bounds(minutes)}, "
+        f"ts, number, k, kind, v FROM (SELECT *, CAST(id AS BIGINT) AS number FROM r), LATERAL ({entries}))) "
+        f"WHERE place = 1{windows}"
+    )
+
+
+ORACLES |= {
+    "parse_faulty_messages": with_readings(f"SELECT {READ}, rejected FROM ({PARSED})"),
+    "job_counts": with_readings(
+        "SELECT count(*) AS messages, count(rejected) AS rejected, "
+        "count(*) FILTER (rejected IS NULL AND event_time IS NULL) AS untimed, "
+        "count(*) FILTER (rejected IS NULL) AS archived, count(rejected) AS kept_rejects "
+        f"FROM ({PARSED})"
+    ),
+    "replayed_alerts": f"{REPLAYED} SELECT {KEY} AS key, mean, status, notification FROM a",
+    "replayed_lookup": f"{REPLAYED} SELECT id, r.temperature, w.temperature AS window_mean FROM r "
+    f"JOIN w ON w.window_start = {bucket(1)} WHERE {ON_TIME}",
+    "cogroup_values": HOURLY_VALUES,
+    "cogroup_lists": HOURLY_VALUES,
+    "pairs_later_wins": latest(
+        60,
+        "SELECT 'temperature' AS k, 'DOUBLE' AS kind, CAST(temperature AS VARCHAR) AS v "
+        "UNION ALL SELECT 'number', 'BIGINT', CAST(number % 1000 AS VARCHAR) "
+        """UNION ALL SELECT 'third', 'STRING', '"' || time || '"' WHERE number % 3 = 0""",
+    ),
+    "merge_later_wins": latest(
+        1,
+        "SELECT 'pressure' AS k, 'DOUBLE' AS kind, CAST(pressure AS VARCHAR) AS v WHERE number % 2 = 0 "
+        "UNION ALL SELECT 'n' || (number % 3), 'BIGINT', CAST(number AS VARCHAR) WHERE number % 2 = 0",
+        f" UNION ALL SELECT {bounds()}, NULL, NULL, NULL FROM r GROUP BY 1, 2 "
+        "HAVING bool_and(CAST(id AS BIGINT) % 2 = 1)",
+    ),
+    "record_functions": with_readings(
+        "SELECT id, time, CAST(CASE WHEN even THEN 2 ELSE 3 END AS INTEGER) AS kept, "
+        "CASE WHEN even THEN p ELSE t END AS k0, CASE WHEN NOT even THEN p END AS k1, id AS updated_k0, "
+        "'x' AS updated_new, CAST(CASE WHEN even THEN 3 ELSE 4 END AS INTEGER) AS updated_size, "
+        "CAST(CASE WHEN even THEN 1 ELSE 2 END AS INTEGER) AS without_time, "
+        "CASE WHEN NOT even THEN p END AS one_entry, CAST(1 AS INTEGER) AS one_item, t AS first, "
+        "CASE WHEN NOT even THEN p END AS first_k1 FROM (SELECT *, CAST(id AS BIGINT) % 2 = 0 AS even, "
+        "CAST(temperature AS VARCHAR) AS t, CAST(pressure AS VARCHAR) AS p FROM r)"
+    ),
+    "hourly_summary": with_means(
+        f"SELECT window_start, window_end, time, {SUMMARY_COLUMNS} FROM w", 60
+    ),
+    "hourly_pairs": with_means(
+        f"SELECT window_start, window_end, 'time' AS k, time AS v FROM w UNION ALL {FIELD_PAIRS}", 60
+    ),
+    "hourly_nested": with_means(
+        "SELECT window_start, window_end, "
+        + each("{m} AS {m}_mean, {status} AS {m}_status, {note} AS {m}_notification")
+        + " FROM w",
+        60,
+    ),
+    "hourly_lookup": with_means(
+        "SELECT id, r.pressure, w.pressure AS window_mean FROM r "
+        f"LEFT JOIN w ON w.window_start = {bucket(60)}",
+        60,
+    ),
+}

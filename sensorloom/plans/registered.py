@@ -46,6 +46,7 @@ from ..sinks.metrics import alert_counts
 from ..sinks.tables import conform
 from ..sources.history import HISTORY_COLUMNS, shape_readings
 from ..sources.messages import decode_envelope, good_readings, parse_alerts, parse_messages
+from . import registered_jobs
 from .event_readings import faulty_readings_from_events, readings_from_events
 from .views import dashboard_series, grade_readings
 
@@ -309,6 +310,5 @@ QUERIES: dict[str, Query] = {
     "alert_outbox": alert_outbox_query,
     "run_metrics": run_metrics,
     "dashboard_series": dashboard_series_query,
+    **registered_jobs.QUERIES,
 }
-
-
