@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..schemas import MEASURES
 from ..session import ensure_checkpoint_dir
 from .measures import union_all
-from .windows import WINDOW, WINDOW_LENGTH, assign_windows, window_means
+from .windows import WINDOW, WINDOW_LENGTH, assign_windows, earliest_times, window_means
 
 # Values that the list of one key and frame may have.
 MOST = 1_000_000
@@ -186,6 +186,28 @@ def enrich_with_window(
     return left_lookup(placed, means, "window_start", "n", broadcast_rows)
 
 
+def first_of_windows(
+    readings: DataFrame,
+    value: str = "id",
+    length: str = WINDOW_LENGTH,
+    event_time: str = "event_time",
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """The earliest ``value`` of each window of a table; the smallest one where two share the
+    instant, and NULL only where all of these are.
+
+    In two steps: the first instant of each window, which a hash aggregate of fixed-width values
+    finds without sorting, then the smallest text of the few readings at that instant. The first
+    step runs at once, as in ``enrich_with_window``, and is looked up in the same way.
+    """
+    ensure_checkpoint_dir(readings.sparkSession)
+    first = earliest_times(readings, length, event_time).select("window_start", "first_time", "n")
+    placed = assign_windows(readings.select(event_time, value), length, event_time)
+    found = left_lookup(placed, first.checkpoint(), "window_start", "n", broadcast_rows)
+    there = found.filter(F.col(event_time) == F.col("first_time"))
+    return there.groupBy(*WINDOW).agg(F.min(value).alias(value))
+
+
 def left_lookup(
     facts: DataFrame,
     lookup: DataFrame,

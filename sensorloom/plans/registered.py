@@ -25,7 +25,7 @@ from ..operators.combine import (
     nested_alert,
     window_summary,
 )
-from ..operators.joins import cogroup, cogroup_measures, enrich_with_window
+from ..operators.joins import cogroup, cogroup_measures, enrich_with_window, first_of_windows
 from ..operators.measures import (
     extract_measures,
     rounded_measures,
@@ -36,7 +36,6 @@ from ..operators.measures import (
 from ..operators.windows import (
     WINDOW,
     assign_windows,
-    first_reading_per_window,
     tumbling_counts,
     window_mean,
     window_means,
@@ -251,7 +250,7 @@ def enrich_with_window_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def first_reading_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return first_reading_per_window(readings_from_events(spark, sf_dir))
+    return first_of_windows(readings_from_events(spark, sf_dir))
 
 
 def union_measures(spark: SparkSession, sf_dir: str) -> DataFrame:

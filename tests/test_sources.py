@@ -236,9 +236,67 @@ def test_declared_schema_modes_and_errors():
         schema_from_declaration({"fields": [{"name": "x", "type": "SHAPE"}]})
 
 
-def test_csv_files_of_another_column_order_fail(spark, tmp_path):
-    names = list(HISTORY_COLUMNS.values())
-    for n, order in enumerate((names, names[::-1])):
-        (tmp_path / f"{n}.csv").write_text(",".join(order) + "\n1,2,3\n", encoding="utf-8")
-    with pytest.raises(Exception, match="(?i)header"):
-        read_readings_csv(spark, str(tmp_path)).collect()
+def written(folder, name, *lines):
+    (folder / name).write_text("\n".join(lines) + "\n", encoding="utf-8")
+
+
+def test_csv_files_of_several_column_orders(spark, tmp_path):
+    """Each file by its own header; other columns, also such without or of one name, do not matter."""
+    power, pressure, temperature = HISTORY_COLUMNS.values()
+    written(tmp_path, "a.csv", f"{power},{pressure},{temperature}", "1,2,3", "4,5,6")
+    written(tmp_path, "b [1] %20.csv", f"{temperature},{power},{pressure}", "3,1,2")
+    written(tmp_path, "c.csv", f'x,{pressure},"note, long",x,{temperature},,{power}', 'q,2,"a, b",w,3,,1', ",,,,,,")
+    written(tmp_path, "d.csv", f"{power},{pressure},{temperature}", "7,8,high")
+    (tmp_path / "empty.csv").write_text("")
+    rows = [tuple(r) for r in read_readings_csv(spark, str(tmp_path)).collect()]
+    plain = sorted((r for r in rows if None not in r and not any(map(math.isnan, r))))
+    assert plain == [(1.0, 2.0, 3.0)] * 3 + [(4.0, 5.0, 6.0)]
+    assert (7.0, 8.0, None) in rows and len(rows) == 6
+    assert sum(all(v is not None and math.isnan(v) for v in r) for r in rows) == 1
+    assert read_readings_csv(spark, [str(tmp_path / "a.csv"), str(tmp_path / "d.csv")]).count() == 3
+
+
+def test_csv_files_without_a_column_fail_by_its_name(spark, tmp_path):
+    power, pressure, temperature = HISTORY_COLUMNS.values()
+    written(tmp_path, "a.csv", f"{power},{pressure},{temperature}", "1,2,3")
+    written(tmp_path, "b.csv", f"{power},{temperature}", "1,3")
+    with pytest.raises(ValueError, match="'P abs SW mb' stands 0 times.*b.csv"):
+        read_readings_csv(spark, str(tmp_path))
+    written(tmp_path, "b.csv", f"{power},{pressure},{pressure},{temperature}", "1,2,2,3")
+    with pytest.raises(ValueError, match="'P abs SW mb' stands 2 times"):
+        read_readings_csv(spark, str(tmp_path))
+    with pytest.raises(ValueError, match="more than 1 different"):
+        read_readings_csv(spark, str(tmp_path), headers=1)
+
+
+def test_csv_of_other_signs_and_nothing(spark, tmp_path):
+    power, pressure, temperature = HISTORY_COLUMNS.values()
+    written(tmp_path, "a.csv", f"{power};'{pressure}';{temperature}", "1;2;3")
+    rows = read_readings_csv(spark, str(tmp_path), sep=";", quote="'")
+    assert [tuple(r) for r in rows.collect()] == [(1.0, 2.0, 3.0)]
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "e.csv").write_text("")
+    assert read_readings_csv(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_csv_files_larger_than_a_block(spark, tmp_path):
+    """The header stands in the first block of a file alone, whatever the lines of the others."""
+    power, pressure, temperature = HISTORY_COLUMNS.values()
+    lines = [f"{i},{i + 1},{i + 2}" for i in range(3_000)]
+    written(tmp_path, "a.csv", f"{power},{pressure},{temperature}", *lines)
+    written(tmp_path, "b.csv", f"{temperature},{pressure},{power}", *lines)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        rows = read_readings_csv(spark, str(tmp_path))
+        assert rows.count() == 6_000 and rows.rdd.getNumPartitions() > 8
+        sums = rows.groupBy().sum().first()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    i = sum(range(3_000))
+    assert sums[0] == sums[2] == 2 * i + 6_000 and sums[1] == 2 * i + 6_000
+
+
+def test_only_the_columns_asked_for_are_read(spark, tmp_path):
+    written(tmp_path, "a.csv", "Fecha,Tª SW,other,P abs SW mb,Par agitador", "d,1,x,2,3")
+    plan = read_readings_csv(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<Tª SW:string,P abs SW mb:string,Par agitador:string>" in plan

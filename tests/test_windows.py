@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import model
 from sensorloom.operators.alerts import window_alerts
+from sensorloom.operators.joins import first_of_windows
 from sensorloom.operators.windows import (
     assign_windows,
     first_reading_per_window,
@@ -66,15 +67,38 @@ def test_assign_keeps_rows_without_time(make_readings):
     assert got == {"a": True, "b": False}
 
 
-def test_first_reading(make_readings):
+@pytest.mark.parametrize("first", [first_reading_per_window, first_of_windows])
+def test_first_reading(make_readings, first):
     rows = make_readings(
         ("z", "00:00:10", 1, 1, 1),
         ("y", "00:00:05", 1, 1, 1),
         ("x", "00:00:05", 1, 1, 1),
         ("a", "00:01:59", 1, 1, 1),
+        ("none", None, 1, 1, 1),
+        (None, "00:02:00", 1, 1, 1),
     )
-    got = {r.w: r.id for r in text_starts(first_reading_per_window(rows)).collect()}
-    assert got == {"00:00:00": "x", "00:01:00": "a"}
+    got = {r.w: r.id for r in text_starts(first(rows)).collect()}
+    assert got == {"00:00:00": "x", "00:01:00": "a", "00:02:00": None}
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 3])
+def test_first_of_windows_with_and_without_broadcast(spark, limit):
+    """A third of the readings in one window, and many at one instant."""
+    rng = random.Random(4)
+    rows = [(str(rng.randrange(10**6)), rng.randrange(60) if i % 3 else rng.randrange(5_000)) for i in range(3_000)]
+    df = spark.createDataFrame(rows, "id string, s int").withColumn("event_time", F.timestamp_seconds("s"))
+    expected = {}
+    for id, at in rows:
+        expected[at // 60] = min(expected.get(at // 60, (at, id)), (at, id))
+    got = first_of_windows(df, broadcast_rows=limit).collect()
+    assert {int(r.window_start.timestamp()) // 60: r.id for r in got} == {w: id for w, (_, id) in expected.items()}
+
+
+def test_first_of_windows_sorts_no_raw_readings(make_readings):
+    rows = make_readings(("a", "00:00:01", 1, 1, 1))
+    plan = first_of_windows(rows)._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("BroadcastHashJoin") :]
+    assert "Sort [" not in below and "SortAggregate" not in below and "Exchange hash" not in below
 
 
 @pytest.mark.parametrize("seed,length,seconds", [(1, "1 minute", 60), (2, "7 minutes", 420)])
