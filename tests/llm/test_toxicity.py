@@ -1,4 +1,11 @@
+import itertools
+import random
+
+import numpy as np
+import pytest
+
 from sensorloom.llm import toxicity
+from sensorloom.llm.toxicity import ARC_WEIGHTS, GRAMMAR, MACHINES, SYMBOLS
 
 
 def test_repeated_rows_of_one_id_weigh_as_one(spark):
@@ -8,3 +15,133 @@ def test_repeated_rows_of_one_id_weigh_as_one(spark):
     often = spark.createDataFrame(rows + [rows[7]] * 300 + [rows[8]] * 50, "doc_id long, text string")
     one, many = toxicity.fit(once, labels), toxicity.fit(often, labels)
     assert many.strengths == one.strengths and abs(many.bias - one.bias) < 1e-6
+
+
+def written(*symbols):
+    return GRAMMAR.best([(s, 1.0) for s in symbols])[1]
+
+
+@pytest.mark.parametrize(
+    "clause, expected",
+    [
+        (["insult"], ["plain"]),
+        (["threat"], ["idle"]),
+        (["target", "insult"], ["target", "aimed"]),
+        (["insult", "target"], ["aimed", "target"]),
+        (["threat", "target"], ["threat", "target"]),
+        (["target", "threat", "insult"], ["target", "threat", "aimed"]),
+        (["target", "negation", "insult"], ["target", "negation", "negated"]),
+        (["target", "negation", "insult", "insult"], ["target", "negation", "negated", "aimed"]),
+        (["negation", "negation", "target", "insult"], ["negation", "negation", "target", "aimed"]),
+        (["target", "report", "target", "insult"], ["target", "report", "target", "reported"]),
+        (["insult", "report", "threat", "target"], ["aimed", "report", "reported", "target"]),
+        (["target", "report", "negation", "threat"], ["target", "report", "negation", "reported"]),
+        ([], []),
+    ],
+)
+def test_clauses(clause, expected):
+    assert written(*clause) == expected
+
+
+def all_paths(machine, clause):
+    """Every path of one machine that ends well: what it writes and weighs, by the strengths read."""
+    paths = [(machine.start, [], 0.0)]
+    for symbol, strength in clause:
+        paths = [
+            (q, [*out, (last, strength)], weight + w * strength)
+            for state, out, weight in paths
+            for q, last, w in machine.arcs.get((state, symbol), ((state, symbol, 0.0),))
+        ]
+    return [(out, weight) for state, out, weight in paths if state not in machine.open]
+
+
+def test_composition_against_enumerated_paths():
+    """The machines one after the other, every path of each, against the one table."""
+    rng = random.Random(1)
+    clauses = [c for n in range(5) for c in itertools.product(SYMBOLS, repeat=n)]
+    clauses += [tuple(rng.choices(SYMBOLS, k=9)) for _ in range(60)]
+    for symbols in clauses:
+        clause = [(s, rng.choice([0.5, 1.0, 2.0])) for s in symbols]
+        found = [(clause, 0.0)]
+        for machine in MACHINES:
+            found = [(out, w + v) for given, w in found for out, v in all_paths(machine, given)]
+        best, path = GRAMMAR.best(clause)
+        assert abs(best - max(w for _, w in found)) < 1e-9
+        ways = [[s for s, _ in out] for out, w in found if abs(w - best) < 1e-9]
+        assert path in ways
+        assert abs(sum(ARC_WEIGHTS.get(o, 0) * s for o, (_, s) in zip(path, clause)) - best) < 1e-9
+
+
+def test_composition_of_two_machines_by_hand():
+    one = toxicity.Transducer({("start", "insult"): (("start", "threat", 1.0), ("end", "insult", 5.0))}, open=frozenset({"end"}))
+    two = toxicity.Transducer({("start", "threat"): (("start", "x", 2.0),)})
+    both = two.after(one, SYMBOLS)
+    assert both.best([("insult", 2.0)]) == (6.0, ["x"])
+    assert both.best([("target", 1.0)]) == (0.0, ["target"])
+
+
+def test_stems_of_copies_do_not_crowd_out_the_rest():
+    """Words that stand together in many copies bring in as many stems as cover them."""
+    copies = [{f"noise{i}$" for i in range(300)}] * 50
+    others = [{f"word{i % 20}$", f"word{(i + 1) % 20}$"} for i in range(60)]
+    telling = {stem: 5.0 for doc in (*copies, *others) for stem in doc}
+    kept = toxicity.lexicon(telling, [*copies, *others], dict.fromkeys(telling, 0))
+    assert {f"word{i}$" for i in range(20)} <= set(kept)
+    assert sum(s.startswith("noise") for s in kept) == toxicity.COVER
+
+
+def test_a_shorter_stem_goes_only_if_longer_ones_reach_all_of_its_documents():
+    documents = [{"abcdef", "abc"}, {"abcdef", "abc"}, {"abcxyz$", "abc"}, {"abc"}] * 3
+    telling = {"abcdef": 4.0, "abcxyz$": 4.0, "abc": 3.0}
+    clean = dict.fromkeys(telling, 0)
+    assert {"abc", "abcdef", "abcxyz$"} <= set(toxicity.lexicon(telling, documents, clean))
+    assert "abc" not in toxicity.lexicon(telling, [d for d in documents if len(d) > 1], clean)
+    assert "abc" not in toxicity.lexicon(telling, documents, clean | {"abc": 9})
+
+
+def test_several_languages_words_and_one_of_each_label(spark):
+    rng = random.Random(2)
+    words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(300)]
+    bad = {"x": ["grumble", "snarlet"], "y": ["zorkel", "zorken", "zorkig"], "z": ["quüx", "quüy"]}
+    rows, labels = [], []
+    for i in range(900):
+        text = rng.choices(words, k=30)
+        if i % 3 == 0:
+            text[rng.randrange(30)] = rng.choice(rng.choice(list(bad.values())))
+        rows.append((i, " ".join(text)))
+        labels.append((i, int(i % 3 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = toxicity.predictions(docs, spark.createDataFrame(labels, "doc_id long, toxic int")).collect()
+    held = [r for r in found if r.held_out]
+    assert len(held) > 100
+    right = sum(r.predicted == dict(labels)[r.doc_id] for r in held)
+    assert right >= 0.95 * len(held)
+
+
+def test_columns_of_any_name_are_kept(spark):
+    labels = spark.createDataFrame([], "doc_id long, toxic int")
+    docs = spark.createDataFrame([(1, "a", 0.9, 7), (2, None, 0.1, 8)], "doc_id long, text string, toxicity double, toxicity_ int")
+    kept = toxicity.non_toxic(docs, labels)
+    assert sorted(map(tuple, kept.collect())) == [(1, "a", 0.9, 7), (2, None, 0.1, 8)]
+    assert kept.columns == docs.columns
+    with pytest.raises(ValueError, match="toxicity"):
+        toxicity.scored(docs, toxicity.Model({}))
+
+
+def test_very_long_texts_ties_and_one_label(spark):
+    """One label alone teaches nothing; a text of a million words and one long word are scored."""
+    rows = [(1, "you idiot. " * 300_000), (2, "x" * 1_000_000), (3, "tie"), (3, "tie"), (4, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 1), (3, 1)], "doc_id long, toxic int")
+    found = {(r.doc_id, round(r.score, 9)) for r in toxicity.predictions(docs, labels).collect()}
+    scores = dict(found)
+    assert len(found) == 4 and 1 > scores[1] > 5 * scores[2] and scores[2] == scores[4] == scores[3]
+
+
+def test_the_score_does_not_hang_on_the_order_of_rows(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    one = toxicity.fit(docs, labels)
+    two = toxicity.fit(docs.repartition(7, "text"), labels.repartition(5, "doc_id"))
+    assert one.strengths == two.strengths
+    assert np.allclose(one.weights, two.weights, atol=1e-5)
