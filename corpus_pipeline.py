@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sensorloom.llm import decontam, mixing, shingles, substrings, toxicity
+from sensorloom.llm import decontam, mixing, simhash, substrings, toxicity
 from sensorloom.llm.common import stored, table
 
 
@@ -19,9 +19,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each component of near-duplicates: texts whose
-    five-word shingles have a Jaccard similarity of 0.8 or more."""
-    return shingles.representatives(docs)
+    """One document, that of the smallest id, of each component of near-duplicates by SimHash: texts
+    whose fingerprints of three-word shingles differ in three bits at most."""
+    return simhash.representatives(docs)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
