@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 
@@ -150,9 +151,43 @@ def word_spans(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 _BYTES = Spans(0x5851F42D4C957F2D)
+#: Words that a worker remembers, and the longest of them in bytes. Others are hashed anew.
+REMEMBERED, LONGEST = 1 << 18, 64
 
 
 def word_hashes(raw: bytes) -> np.ndarray:
-    """A 64-bit hash of every word of a text, in order."""
+    """A 64-bit hash of every word of a text, in order, for counting and for finding candidates.
+
+    It mixes a polynomial in a base with a sum of factors drawn for each place: sequences that are
+    built to agree in powers of any base modulo 2**64 differ in the other part.
+    """
     buffer, starts, ends = word_spans(raw)
-    return _BYTES.of(buffer.astype(np.uint64) + np.uint64(1), starts, ends)
+    values = buffer.astype(np.uint64) + np.uint64(1)
+    first = np.zeros(len(values), np.int64)
+    first[starts] = starts
+    place = (np.arange(len(values)) - np.maximum.accumulate(first)).astype(np.uint64)
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * mixed((place + np.uint64(1)) * np.uint64(0x9E6C63D0876A9A47)), out=sums[1:])
+    return mixed(_BYTES.of(values, starts, ends) + mixed(sums[ends] - sums[starts]))
+
+
+class _Digests(dict):
+    """128 bits of every word, by a hash of which no two words with one value are known."""
+
+    def __missing__(self, word: bytes) -> bytes:
+        digest = hashlib.blake2b(word, digest_size=16).digest()
+        if len(word) <= LONGEST:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[word] = digest
+        return digest
+
+
+_DIGESTS = _Digests()
+
+
+def word_digests(raw: bytes) -> np.ndarray:
+    """Two independent 64-bit hashes of every word of a text, in order, one row per word: what words
+    are told apart by where no test of the words themselves follows."""
+    found = b"".join(map(_DIGESTS.__getitem__, raw.split()))
+    return np.frombuffer(found, "<u8").reshape(-1, 2)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorloom.llm.common import WORD, Spans, batches, looked_up, mixed, stored, word_hashes
+from sensorloom.llm.common import WORD, Spans, batches, looked_up, stored, word_digests, word_hashes
 
 #: Words in a window, and in the shorter spans of which each window picks its smallest.
 WINDOW, SPAN = 50, 12
@@ -49,7 +49,7 @@ def _anchor_rows(window: int, span: int):
                 words = word_hashes(raw or b"")
                 whole = len(words) >= window
                 anchors = np.unique(window_anchors(words, window, span)).view(np.int64)
-                content = hashlib.blake2b(words.tobytes(), digest_size=16).digest()
+                content = hashlib.blake2b(b" ".join((raw or b"").split()), digest_size=16).digest()
                 out["tag"].append(tag_of(raw))
                 out["content"].append(content if whole else None)
                 out["windows"].append(max(0, len(words) - window + 1))
@@ -76,19 +76,20 @@ def _window_rows(window: int, span: int):
             for id, raw, many, shared in zip(*columns, batch.column("shared")):
                 if not shared.is_valid:
                     continue
-                words = word_hashes(raw or b"")
                 wanted = np.asarray(shared.values).view(np.uint64)
-                at = np.flatnonzero(np.isin(window_anchors(words, window, span), wanted))
+                anchors = window_anchors(word_hashes(raw or b""), window, span)
+                at = np.flatnonzero(np.isin(anchors, wanted))
                 if len(at):
-                    second = _SECOND.of(mixed(words), at, at + window)
+                    # anchors only find candidates; what counts as equal goes by better hashes
+                    first, second = word_digests(raw or b"").T
                     yield batches(
                         schema,
                         {
                             "doc_id": np.full(len(at), id),
                             "tag": np.full(len(at), tag_of(raw) if many else 0),
                             "start": at.astype(np.int32),
-                            "h1": _FIRST.of(words, at, at + window).view(np.int64),
-                            "h2": second.view(np.int64),
+                            "h1": _FIRST.of(first, at, at + window).view(np.int64),
+                            "h2": _SECOND.of(second, at, at + window).view(np.int64),
                         },
                     )
 

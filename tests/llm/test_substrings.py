@@ -1,6 +1,7 @@
 import random
 
 import brute
+from sensorloom.llm.common import word_hashes
 from sensorloom.llm import substrings
 
 
@@ -52,3 +53,17 @@ def test_spans_are_maximal(spark):
     docs = spark.createDataFrame([(1, passage), (2, f"a b {passage} c")], "doc_id long, text string")
     got = {r.doc_id: r.spans for r in substrings.remove_repeats(docs).collect()}
     assert got == {1: [], 2: [[2, 82]]}
+
+
+def test_words_that_agree_in_powers_of_any_base(spark):
+    """The Thue-Morse sequence and its complement: equal in every polynomial modulo 2**64."""
+    one = "a"
+    for _ in range(10):
+        one += one.translate(str.maketrans("ab", "ba"))
+    two = one.translate(str.maketrans("ab", "ba"))
+    words = [f"w{i}" for i in range(49)]
+    rows = [(1, " ".join([*words, one])), (2, " ".join([*words, two])), (3, " ".join([*words, one]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in substrings.digest(docs).collect()}
+    assert got == {1: 0, 2: 0, 3: 50}
+    assert len(set(word_hashes(f"{one} {two} {one}x {two}x".encode()).tolist())) == 4
