@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorloom.llm.common import stored
+from sensorloom.llm.common import looked_up, stored
 from sensorloom.llm.graph import components
 from sensorloom.llm.simhash import Forest, mine_slice
 
@@ -271,17 +271,24 @@ def near_vectors(
     )
     smallest = members.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = members.join(smallest, "root").select(
-        "node",
+        F.col("node").cast("binary").alias("node"),
+        "n",
         (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
         "component_id",
     )
-    return (
-        rows.select("vec_id", "node")
-        .join(classes, "node", "left")
-        .select(
-            "vec_id",
-            F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-            F.coalesce("component_id", "vec_id").alias("component_id"),
-            F.expr("vec_id <=> coalesce(component_id, vec_id)").alias("kept"),
-        )
+    classes = stored(classes, "classes")
+    # rows of a vector that very many have are not gathered, and those without one wait for nothing
+    total = classes.agg(F.sum("n")).first()[0] or 0
+    own = rows.where("node IS NOT NULL").select("vec_id", F.col("node").cast("binary").alias("node"))
+    found = looked_up(own, classes, ["node"], total, ["vec_id"]).select(
+        "vec_id", "n_links", "component_id"
+    )
+    alone = rows.where("node IS NULL").select(
+        "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")
+    )
+    return found.unionByName(alone).select(
+        "vec_id",
+        F.col("n_links").cast("long").alias("n_links"),
+        "component_id",
+        F.expr("vec_id <=> component_id").alias("kept"),
     )

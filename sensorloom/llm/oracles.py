@@ -121,7 +121,60 @@ def spellings() -> str:
     )
 
 
+def substrings(window: int = 50) -> str:
+    return (
+        r"WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents), "
+        "p AS (SELECT doc_id, i, w[i] AS word, CASE WHEN i + "
+        f"{window - 1} <= len(w) THEN sha256(array_to_string(w[i:i + {window - 1}], ' ')) END AS h "
+        "FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)), "
+        "f AS (SELECT h, min(doc_id) AS least FROM p WHERE h IS NOT NULL GROUP BY h), "
+        "c AS (SELECT doc_id, i, word, coalesce(max(CASE WHEN least < doc_id THEN 1 ELSE 0 END) OVER "
+        f"(PARTITION BY doc_id ORDER BY i ROWS BETWEEN {window - 1} PRECEDING AND CURRENT ROW), 0) AS gone "
+        "FROM p LEFT JOIN f USING (h)) "
+        "SELECT d.doc_id, CAST(len(any_value(w)) AS BIGINT) AS n_words, CAST(coalesce(sum(gone), 0) AS BIGINT) AS n_removed, "
+        "sha256(coalesce(string_agg(word, ' ' ORDER BY i) FILTER (gone = 0), '')) AS kept_sha256 "
+        "FROM d LEFT JOIN c USING (doc_id) GROUP BY d.doc_id"
+    )
+
+
+def archive() -> str:
+    letters = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'"
+    four = " || ".join(f"{letters}[(v >> {bits} & 31) + 1]" for bits in (15, 10, 5, 0))
+    digest = (
+        "array_to_string(list_transform(list_transform(range(8), "
+        f"lambda k: CAST('0x' || sha1(payload)[5 * k + 1:5 * k + 5] AS BIGINT)), lambda v: {four}), '')"
+    )
+    return (
+        "WITH r AS (SELECT page_id, coalesce(html, '') AS payload, "
+        "max(page_id) OVER (PARTITION BY coalesce(html, '')) AS keeper FROM pages) "
+        "SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes, "
+        f"{digest} AS payload_digest, CASE WHEN page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type, "
+        "CASE WHEN page_id <> keeper THEN keeper END AS refers_to FROM r"
+    )
+
+
+def embeddings(least: float = 0.9) -> str:
+    return (
+        "WITH RECURSIVE v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings "
+        "WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 "
+        "AND len(list_filter(embedding, lambda x: x <> 0)) > 0), "
+        "links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v AS a JOIN v AS b "
+        "ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) "
+        f"WHERE list_cosine_similarity(a.e, b.e) >= {least}), "
+        "reached AS (SELECT vec_id AS a, vec_id AS b FROM v UNION "
+        "SELECT reached.a, links.b FROM reached JOIN links ON links.a = reached.b), "
+        "roots AS (SELECT a AS vec_id, min(b) AS component_id FROM reached GROUP BY a), "
+        "counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a) "
+        "SELECT e.vec_id, coalesce(n, 0) AS n_links, coalesce(component_id, e.vec_id) AS component_id, "
+        "e.vec_id = coalesce(component_id, e.vec_id) AS kept FROM embeddings AS e "
+        "LEFT JOIN roots USING (vec_id) LEFT JOIN counts USING (vec_id)"
+    )
+
+
 ORACLES: dict[str, str] = {
+    "op6_substrings": substrings(),
+    "op9_warc": archive(),
+    "op10_embeddings": embeddings(),
     "op12_manifest": manifest(),
     "op13_spellings": spellings(),
 }

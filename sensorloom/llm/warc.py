@@ -15,7 +15,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorloom.llm.common import shared_folder, stored
+from sensorloom.llm.common import looked_up, shared_folder, stored
 
 #: Bytes of records after which a frame, and a bundle, is closed.
 FRAME, BUNDLE = 1 << 18, 1 << 25
@@ -138,19 +138,23 @@ class BundleReader:
 
 def revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """``page_id, url, payload, refers_to``: of equal payloads of at least ``min_bytes`` bytes that
-    with the largest page_id stands for all; the others refer to it."""
+    with the largest page_id stands for all; the others refer to it. The pages of a payload that very
+    many share are not gathered: what they refer to is broadcast."""
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"),
         F.col("url").cast("string").alias("url"),
         F.coalesce(F.col("html").cast("binary"), F.lit(b"")).alias("payload"),
     ).withColumn("same", F.unhex(F.sha2("payload", 256)))
-    keeper = rows.groupBy("same").agg(F.max("page_id").alias("keeper"))
+    keeper = rows.groupBy("same").agg(F.max("page_id").alias("keeper"), F.count("*").alias("n"))
+    keeper = stored(keeper, "payloads")
+    total = keeper.agg(F.sum("n")).first()[0] or 0
     refers = F.when(
         (F.octet_length("payload") >= min_bytes)
         & ~F.coalesce(F.col("page_id") == F.col("keeper"), F.lit(False)),
         F.col("keeper"),
     )
-    return rows.join(keeper, "same").select("page_id", "url", "payload", refers.alias("refers_to"))
+    found = looked_up(rows, keeper, ["same"], total, ["page_id", "url"])
+    return found.select("page_id", "url", "payload", refers.alias("refers_to"))
 
 
 def write_archive(
