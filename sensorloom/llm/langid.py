@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from sensorloom.llm.common import fold, mixed
 
-#: Bytes of an n-gram, hashed features, documents of each language the model is fitted on at most
+#: Code points of an n-gram, hashed features, documents of each language the model is fitted on at most
 #: (by crc32 of the id), and of all languages.
 GRAMS, DIMENSIONS, PER_LANGUAGE, SAMPLE = (1, 2, 3), 1 << 16, 400, 4_000
 #: So many times ``PER_LANGUAGE`` documents are looked at to find the first of a language.
@@ -28,11 +28,12 @@ LETTER = re.compile(r"[^\W\d_]")
 
 def counts(text: str, dimensions: int = DIMENSIONS) -> tuple[np.ndarray, np.ndarray]:
     """Hashed n-grams of the lower-cased text, words apart by one space, and how often each is."""
-    data = np.frombuffer((" " + " ".join(text.lower().split()) + " ").encode(), np.uint8)
+    plain = (" " + " ".join(text.lower().split()) + " ").encode("utf-32-le", "surrogatepass")
+    data = np.frombuffer(plain, "<u4").astype(np.uint64)
     found = []
     code = np.zeros(len(data), np.uint64)
     for n in range(1, max(GRAMS) + 1):
-        code = code[: len(data) - n + 1] * np.uint64(257) + data[n - 1 :] + np.uint64(1)
+        code = code[: len(data) - n + 1] * np.uint64(0x110001) + data[n - 1 :] + np.uint64(1)
         if n in GRAMS:
             found.append(mixed(code + np.uint64(n << 56)) % np.uint64(dimensions))
     return np.unique(np.concatenate(found), return_counts=True)
