@@ -353,6 +353,14 @@ ORACLES |= {
         "CASE WHEN NOT even THEN p END AS first_k1 FROM (SELECT *, CAST(id AS BIGINT) % 2 = 0 AS even, "
         "CAST(temperature AS VARCHAR) AS t, CAST(pressure AS VARCHAR) AS p FROM r)"
     ),
+    "history_by_name": with_readings("SELECT motor_power, pressure, temperature FROM r"),
+    "declared_rows": with_readings(
+        "SELECT CAST(id AS BIGINT) AS id, strftime(ts, '%Y-%m-%d') AS time, "
+        "CAST(CAST(temperature AS DECIMAL(38, 9)) AS VARCHAR) AS temperature, "
+        "CAST(trunc(pressure) AS BIGINT) AS pressure, CAST(motor_power AS VARCHAR) AS motor_power, "
+        "CASE WHEN CAST(id AS BIGINT) % 3 <> 0 THEN temperature END AS kind FROM r"
+    ),
+    "message_ids": "SELECT count(*) AS n, count(*) AS ids, count(*) AS formed, CAST(1 AS BIGINT) AS times FROM events",
     "hourly_summary": with_means(
         f"SELECT window_start, window_end, time, {SUMMARY_COLUMNS} FROM w", 60
     ),

@@ -30,9 +30,10 @@ from ..operators.combine import (
 from ..operators.joins import cogroup_lists, cogroup_values, enrich_stream, enrich_with_window
 from ..operators.measures import keyed_records
 from ..operators.windows import WINDOW, assign_windows, window_means
-from ..schemas import ARCHIVE_SCHEMA, MEASURES, READING_FIELDS
+from ..schemas import ARCHIVE_SCHEMA, MEASURES, READING_FIELDS, schema_from_declaration
 from ..sinks.metrics import totals
-from ..sinks.tables import Sink
+from ..sinks.tables import Sink, conform
+from ..sources.history import HISTORY_COLUMNS, read_readings_csv, shape_readings
 from ..sources.messages import CORRUPT, as_messages, parse_alerts, parse_messages
 from .event_readings import faulty_readings_from_events, readings_from_events
 from .job import Settings, Sinks, run_batch
@@ -220,6 +221,53 @@ def record_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def history_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings written as CSV history with columns in two orders, and read back by their names."""
+    readings = readings_from_events(spark, sf_dir)
+    names = {m: F.col(m).alias(name) for m, name in HISTORY_COLUMNS.items()}
+    place = shared_place(readings, "history")
+    number = F.col("id").cast("bigint")
+    for part, order in enumerate((list(names), [*reversed(names)])):
+        some = readings.where(number % 2 == part).select("id", *[names[m] for m in order])
+        some.write.option("header", True).csv(f"{place}/{part}")
+    history = read_readings_csv(spark, [f"{place}/{part}" for part in (0, 1)])
+    return history.select(*[F.col(f"`{name}`").alias(m) for m, name in HISTORY_COLUMNS.items()])
+
+
+def declared_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings as the rows of a table declared field by field, what does not fit being NULL."""
+    declared = schema_from_declaration(
+        {
+            "fields": [
+                {"name": "id", "type": "INTEGER", "mode": "REQUIRED"},
+                {"name": "time", "type": "DATE"},
+                {"name": "temperature", "type": "NUMERIC"},
+                {"name": "pressure", "type": "INT64"},
+                {"name": "motor_power", "type": "STRING"},
+                {"name": "kind", "type": "FLOAT"},
+            ]
+        }
+    )
+    readings = readings_from_events(spark, sf_dir)
+    number = F.col("id").cast("bigint")
+    kind = F.when(number % 3 == 0, F.lit("none")).otherwise(F.col("temperature").cast("string"))
+    rows = conform(readings.withColumn("kind", kind), declared)
+    return rows.withColumns({c: F.col(c).cast("string") for c in ("time", "temperature")})
+
+
+def message_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What can be said of random ids: every history row has one of its own, of the usual form."""
+    readings = readings_from_events(spark, sf_dir)
+    history = readings.select(*[F.col(m).alias(name) for m, name in HISTORY_COLUMNS.items()])
+    form = "^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$"
+    return shape_readings(history).agg(
+        F.count("*").alias("n"),
+        F.count_distinct("id").alias("ids"),
+        F.count(F.when(F.col("id").rlike(form), 1)).alias("formed"),
+        F.count_distinct("time").alias("times"),
+    )
+
+
 def _hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_means(readings_from_events(spark, sf_dir), length=HOUR, places=PLACES)
 
@@ -255,6 +303,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pairs_later_wins": pairs_later_wins,
     "merge_later_wins": merge_later_wins,
     "record_functions": record_functions,
+    "history_by_name": history_by_name,
+    "declared_rows": declared_rows,
+    "message_ids": message_ids,
     "hourly_summary": hourly_summary,
     "hourly_pairs": hourly_pairs,
     "hourly_nested": hourly_nested,
