@@ -150,25 +150,38 @@ def word_spans(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return buffer, edges[0::2], edges[1::2]
 
 
-_BYTES = Spans(0x5851F42D4C957F2D)
 #: Words that a worker remembers, and the longest of them in bytes. Others are hashed anew.
 REMEMBERED, LONGEST = 1 << 18, 64
 
 
+def _factors(start: int, end: int) -> np.ndarray:
+    """An odd factor for each place in a word."""
+    place = np.arange(start + 1, end + 1, dtype=np.uint64)
+    return mixed(place * np.uint64(0x9E6C63D0876A9A47)) | np.uint64(1)
+
+
+_FACTORS = _factors(0, 256)
+
+
 def word_hashes(raw: bytes) -> np.ndarray:
     """A 64-bit hash of every word of a text, in order, for counting and for finding candidates.
 
-    It mixes a polynomial in a base with a sum of factors drawn for each place: sequences that are
-    built to agree in powers of any base modulo 2**64 differ in the other part.
+    It sums a word's bytes times factors drawn for their places. Sequences that are built to agree
+    in the powers of any base modulo 2**64 differ in it.
     """
     buffer, starts, ends = word_spans(raw)
-    values = buffer.astype(np.uint64) + np.uint64(1)
-    first = np.zeros(len(values), np.int64)
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    first = np.zeros(len(buffer), np.int32 if len(buffer) < 1 << 31 else np.int64)
     first[starts] = starts
-    place = (np.arange(len(values)) - np.maximum.accumulate(first)).astype(np.uint64)
-    sums = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * mixed((place + np.uint64(1)) * np.uint64(0x9E6C63D0876A9A47)), out=sums[1:])
-    return mixed(_BYTES.of(values, starts, ends) + mixed(sums[ends] - sums[starts]))
+    place = np.arange(len(buffer), dtype=first.dtype) - np.maximum.accumulate(first)
+    longest = int((ends - starts).max())
+    factors = _FACTORS if longest <= len(_FACTORS) else _factors(0, longest)
+    sums = np.zeros(len(buffer) + 1, np.uint64)
+    # bytes between words count for none; they may lie farther out than any word reaches
+    each = factors[np.minimum(place, len(factors) - 1)]
+    np.cumsum((buffer.astype(np.uint64) + np.uint64(1)) * each, out=sums[1:])
+    return mixed(sums[ends] - sums[starts])
 
 
 class _Digests(dict):
