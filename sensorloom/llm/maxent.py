@@ -115,19 +115,35 @@ class Model:
         self.weights = np.zeros((ROWS * KINDS, len(prior)), np.float32)
         self.squares = np.zeros(ROWS * KINDS, np.float32)
 
-    def log_classes(self, rows: np.ndarray) -> np.ndarray:
-        x = self.prior + self.weights[rows[:, 0]]
+    def _odds(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The logits of all classes less the greatest of each row, their powers, and the sums of
+        these."""
+        x = self.weights[rows[:, 0]]
         for kind in range(1, KINDS):
             x += self.weights[rows[:, kind]]
+        x += self.prior
         x -= x.max(axis=1, keepdims=True)
-        return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+        powers = np.exp(x)
+        return x, powers, powers.sum(axis=1)
+
+    def log_classes(self, rows: np.ndarray) -> np.ndarray:
+        x, _, sums = self._odds(rows)
+        return x - np.log(sums)[:, None]
+
+    def log_class(self, rows: np.ndarray, classes: np.ndarray) -> np.ndarray:
+        """The same of one class for each row, which spares a pass over all others."""
+        x, _, sums = self._odds(rows)
+        return x[np.arange(len(classes)), classes] - np.log(sums)
 
     def learn(self, rows: np.ndarray, classes: np.ndarray) -> None:
         """One gradient step of the log likelihood, its size by what each row has moved before."""
-        gradient = np.exp(self.log_classes(rows))
+        _, gradient, sums = self._odds(rows)
+        gradient /= sums[:, None]
         gradient[np.arange(len(classes)), classes] -= 1
         for kind in range(KINDS):
-            order = np.argsort(rows[:, kind], kind="stable")
+            # numbers of 16 bits are sorted without comparing them
+            own = (rows[:, kind] - kind * ROWS).astype(np.uint16 if ROWS <= 1 << 16 else np.int32)
+            order = np.argsort(own, kind="stable")
             at = rows[order, kind]
             starts = np.flatnonzero(np.diff(at, prepend=-1))
             # rows met once need no sum
@@ -139,8 +155,9 @@ class Model:
                 first = np.cumsum(np.append(0, sizes[more][:-1]))
                 sums[more] = np.add.reduceat(gradient[order[within]], first, axis=0)
             at = at[starts]
-            self.squares[at] += (sums * sums).sum(axis=1)
-            self.weights[at] -= RATE * sums / np.sqrt(self.squares[at] + 1)[:, None]
+            self.squares[at] += np.einsum("ij,ij->i", sums, sums)
+            sums *= (RATE / np.sqrt(self.squares[at] + 1))[:, None]
+            self.weights[at] -= sums
 
 
 def _raw(docs: DataFrame, *more: Column) -> DataFrame:
@@ -283,7 +300,7 @@ def scored(docs: DataFrame, counts: DataFrame, words: Vocabulary, model: Model)
                 rows, by_class = features(found), 0.0
                 for i in range(0, len(found), CHUNK):
                     c = classes[i : i + CHUNK]
-                    p = model.log_classes(rows[i : i + CHUNK])[np.arange(len(c)), c]
+                    p = model.log_class(rows[i : i + CHUNK], c)
                     by_class += float(p.sum(dtype=np.float64) - words.log_mass[c].sum())
                 out["n_tokens"].append(len(found))
                 out["n_known"].append(int((count > 0).sum()))
