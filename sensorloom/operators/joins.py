@@ -92,10 +92,11 @@ def cogroup_values(
         keys, bounds = ["_window"], [F.col(f"_window.{b}").alias(f"window_{b}") for b in ("start", "end")]
     else:
         rows, keys, bounds = assign_windows(rows, length, event_time), [*WINDOW], [*WINDOW]
-    each = F.explode(
-        F.array(*[F.struct(F.lit(m).alias("_frame"), F.struct(F.col(m).alias("v")).alias("_v")) for m in measures])
-    )
-    values = rows.select(*keys, each.alias("_each")).select(*keys, "_each.*")
+    pairs = [
+        F.struct(F.lit(m).alias("_frame"), F.struct(F.col(m).alias("v")).alias("_v"))
+        for m in measures
+    ]
+    values = rows.select(*keys, F.inline(F.array(*pairs)))
     values = values.filter(F.col("_v.v").isNotNull())
     lists = _listed(values, keys, {m: F.col("_frame") == m for m in measures}, most)
     return lists.select(*bounds, *measures)

@@ -184,8 +184,10 @@ def merge_later_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = assign_windows(readings_from_events(spark, sf_dir))
     number = F.col("id").cast("bigint")
     entry = typed_pair("pressure", F.col("pressure"))
-    count = F.struct(F.concat(F.lit("n"), (number % 3).cast("string")).alias("k"), number.cast("variant").alias("v"))
-    record = F.map_from_entries(F.when(number % 2 == 0, F.array(entry, count)).otherwise(F.slice(F.array(entry), 1, 0)))
+    name = F.concat(F.lit("n"), (number % 3).cast("string"))
+    count = F.struct(name.alias("k"), number.cast("variant").alias("v"))
+    none = F.slice(F.array(entry), 1, 0)
+    record = F.map_from_entries(F.when(number % 2 == 0, F.array(entry, count)).otherwise(none))
     records = placed.select(*WINDOW, _moment().alias("at"), record.alias("record"))
     return _typed(merge_records(records, order="at"))
 
@@ -193,7 +195,10 @@ def merge_later_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
 def record_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The functions on pairs, maps and lists, on the fields of every reading."""
     readings = keyed_records(readings_from_events(spark, sf_dir))
-    field = lambda name: F.col(f"record.{name}")
+
+    def field(name: str) -> Column:
+        return F.col(f"record.{name}")
+
     kind = F.concat(F.lit("k"), (field("id").cast("bigint") % 2).cast("string"))
     pairs = F.array(
         pair("k0", field("temperature")),
