@@ -5,22 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorloom.llm.common import shared_folder
+from sensorloom.llm.common import looked_up, shared_folder
 
 
 def components(links: DataFrame) -> DataFrame:
-    """``(node, root)`` for every node in ``links(a, b)``: root is the smallest node reachable.
+    """``(node, root)`` for every node in ``links(a, b)``, numbers, texts or bytes: root is the
+    smallest node reachable.
 
     Alternates two steps until neither changes a link: every node's greater neighbours are linked
     to the smallest node beside it, then its smaller ones are. Each step is one grouped minimum
-    with map-side combine and one join, so no neighbourhood is ever gathered; a node with very
-    many links is a skewed join key, which Spark splits. Rounds grow with the logarithm of the
-    component's size. Rows with a NULL end or linking a node to itself link nothing. Every round
-    ends in a ``checkpoint`` in the shared folder.
+    with map-side combine and one look-up, so no neighbourhood is ever gathered: what the links of
+    a node with very many look for is broadcast. Rounds grow with the logarithm of the component's
+    size. Rows with a NULL end or linking a node to itself link nothing. Every round ends in a
+    ``checkpoint`` in the shared folder.
     """
     spark = links.sparkSession
     if not spark.sparkContext.getCheckpointDir():
         shared_folder(spark, "links")
+    kind = dict(links.dtypes)["a"]
+    if kind == "string":
+        links = links.select(F.col("a").cast("binary"), F.col("b").cast("binary"))
+    elif kind not in ("bigint", "binary"):
+        links = links.select(F.col("a").cast("long"), F.col("b").cast("long"))
 
     def kept(df: DataFrame) -> tuple[DataFrame, tuple]:
         df = df.distinct().checkpoint()
@@ -33,12 +39,15 @@ def components(links: DataFrame) -> DataFrame:
     current, before = kept(down.where("a <> b"))
     while before[0]:
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
+        counted = F.count("*").alias("n")
+        least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"), counted)
         greater = current.select(F.col("b").alias("a"), F.col("a").alias("v"))
-        large = greater.join(least, "a").select(F.col("v").alias("a"), F.col("m").alias("b"))
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = looked_up(greater, least, ["a"], 2 * before[0], ["v"]).select(
+            F.col("v").alias("a"), F.col("m").alias("b")
+        )
+        least = large.groupBy("a").agg(F.min("b").alias("m"), counted)
         small = (
-            large.join(least, "a")
+            looked_up(large, least, ["a"], before[0], ["b"])
             .select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
             .where("a <> b")
         )
@@ -46,4 +55,4 @@ def components(links: DataFrame) -> DataFrame:
         if now == before:
             break
         before = now
-    return current.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    return current.select(F.col("a").cast(kind).alias("node"), F.col("b").cast(kind).alias("root"))

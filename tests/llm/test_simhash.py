@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import brute
 from sensorloom.llm import simhash
@@ -74,6 +75,28 @@ def test_components(spark):
     assert components(frame.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("kind", ["string", "binary", "int"])
+def test_components_of_hubs_and_other_kinds(spark, kind):
+    """A node with most of the links, a chain through it, and nodes that are no long numbers."""
+    pairs = [(5_000, i) for i in range(600)] + [(i, 6_000 + i) for i in range(0, 600, 7)]
+    pairs += [(7_000 + i, 7_001 + i) for i in range(30)] + [(7_030, 9_000 + i) for i in range(400)]
+    frame = spark.createDataFrame(pairs, "a long, b long")
+    if kind != "int":
+        frame = frame.select(*[F.lpad(F.col(c).cast("string"), 5, "0").cast(kind).alias(c) for c in "ab"])
+    else:
+        frame = frame.select(F.col("a").cast("int"), F.col("b").cast("int"))
+    found = components(frame)
+    assert dict(found.dtypes) == {"node": kind, "root": kind}
+    got = {int(n): int(r) for n, r in (map(as_text, row) for row in found.collect())}
+    first = {i for pair in pairs for i in pair if i < 7_000} - {0}
+    second = {i for pair in pairs for i in pair if i > 7_000}
+    assert got == dict.fromkeys(first, 0) | dict.fromkeys(second, 7_000)
+
+
+def as_text(value):
+    return bytes(value).decode() if isinstance(value, (bytes, bytearray)) else str(value)
+
+
 def test_representatives_keep_a_component_whose_id_has_a_copy_elsewhere(spark):
     a, b = "alpha beta gamma delta epsilon zeta", "one two three four five six seven"
     rows = [(1, a), (2, a), (2, b)]
