@@ -71,6 +71,15 @@ def wider(n: int) -> list[list[tuple[int, int]]]:
     return around
 
 
+def stands_alone(text: str, start: int, end: int) -> bool:
+    """Whether no word goes on beyond either end of a part of a text."""
+
+    def joined(at: int) -> bool:
+        return 0 < at < len(text) and text[at - 1].isalnum() and text[at].isalnum()
+
+    return not joined(start) and not joined(end)
+
+
 class Matcher:
     """Finds all items of one pass in a text.
 
@@ -104,6 +113,9 @@ class Matcher:
         for end, (length, uses) in self.automaton.iter(text):
             at = end + 1 - length
             for n, offset, ranges in uses:
+                # an item too short for any edit is its own only piece, and must be whole words
+                if not self.items[n][2] and not stands_alone(text, at, end + 1):
+                    continue
                 for before, part, k in ranges:
                     first = at - before
                     window = text[max(0, first - k) : first + len(part) + k]
@@ -153,7 +165,8 @@ def matches(
     of ``docs(doc_id, text)`` with at most ``errors`` edits for each of its characters, and the
     least number of edits.
 
-    Case (A-Z) and the kind and number of whitespace characters do not count. NULL and empty texts
+    Case (A-Z) and the kind and number of whitespace characters do not count. An item too short for
+    an edit must stand as whole words: ``yes`` is not in ``yesterday``. NULL and empty texts
     hold nothing and are held by nothing; items with a NULL id are left out, documents with a NULL
     id are reported with it. Repeated documents are reported as often, repeated items once for
     each. The items are a query set: documents are scanned once for every ``pass_chars`` characters

@@ -1,4 +1,5 @@
 import random
+import re
 
 from sensorloom.llm import decontam
 
@@ -47,6 +48,11 @@ def test_pieces_cover_the_item():
             assert "".join(p for _, p in parts) == "x" * n
 
 
+def whole(text, start, end):
+    before, after = text[:start][-1:], text[end:][:1]
+    return not (before.isalnum() and text[start].isalnum() or after.isalnum() and text[end - 1].isalnum())
+
+
 def brute(docs, items, errors):
     out = []
     for id, text in docs:
@@ -56,6 +62,9 @@ def brute(docs, items, errors):
             if item_id is None or not item:
                 continue
             d = plain_distance(item, text)
+            if not decontam.budget(item, errors):
+                places = (m.start() for m in re.finditer(f"(?={re.escape(item)})", text))
+                d = min((0 for at in places if whole(text, at, at + len(item))), default=1)
             if d <= decontam.budget(item, errors):
                 out.append((id, item_id, d))
     return sorted(out, key=str)
@@ -100,3 +109,13 @@ def test_a_long_text_holds_an_item_at_its_end(spark):
     docs = spark.createDataFrame([(1, "word " * 200_000 + item.replace("lazy", "lacy"))], "doc_id long, text string")
     items = spark.createDataFrame([(9, item)], "item_id long, text string")
     assert [tuple(r) for r in decontam.matches(docs, items).collect()] == [(1, 9, 1)]
+
+
+def test_short_items_are_whole_words(spark):
+    items = spark.createDataFrame([(1, "yes"), (2, "E"), (3, "a b"), (4, "c++"), (5, "né")], "item_id long, text string")
+    texts = ["the eyes of yesterday", "nothing here", "Yes, really: e=mc2", "yesyes yes", "extra best a  b.", "a bc++", "c++x", "née né", "x-yes"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted((r.doc_id, r.item_id) for r in decontam.matches(docs, items).collect())
+    assert got == [(2, 1), (2, 2), (3, 1), (4, 3), (6, 4), (7, 5), (8, 1)]
+    assert got == sorted((d, i) for d, i, _ in brute([(r.doc_id, r.text) for r in docs.collect()], [(r.item_id, r.text) for r in items.collect()], decontam.ERRORS))
+    assert sorted(r.doc_id for r in decontam.without_leaks(docs, items).collect()) == [0, 1, 5]
