@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,6 +37,22 @@ def tokens(raw: bytes | None) -> np.ndarray:
     return np.append(word_hashes((raw or b"").lower()), END)
 
 
+def joined(texts: Iterable[bytes | None], least: int = STEP) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Tokens of neighbouring texts together, at least so many but at the end, and where each text
+    begins: numpy works on a few long arrays faster than on many short ones."""
+    parts, starts, size = [], [], 0
+    for raw in texts:
+        found = tokens(raw)
+        parts.append(found)
+        starts.append(size)
+        size += len(found)
+        if size >= least:
+            yield np.concatenate(parts), np.array(starts)
+            parts, starts, size = [], [], 0
+    if parts:
+        yield np.concatenate(parts), np.array(starts)
+
+
 @dataclass
 class Vocabulary:
     """Numbers of all training tokens, and the frequent words (sorted by hash) with counts and
@@ -98,10 +114,15 @@ class Vocabulary:
         return np.where(here, self.counts[at], 0), np.where(here, self.classes[at], none)
 
 
-def features(hashes: np.ndarray) -> np.ndarray:
-    """Rows of weights, one of each kind, that each token of one text is predicted from."""
+def features(hashes: np.ndarray, starts: np.ndarray | None = None) -> np.ndarray:
+    """Rows of weights, one of each kind, that each token is predicted from. The tokens are those of
+    one text, or of several that begin at ``starts`` and each end in an end token."""
     before = np.concatenate([[END, END], hashes])[: len(hashes) + 1]
     one, two = before[1:], before[:-1]
+    if starts is not None:
+        # one back from a start stands the end of the text before, as it should; two back a word
+        two[starts] = END
+        one = np.concatenate([[END], hashes])[: len(hashes)]
     both = mixed(one * np.uint64(3) + two)
     rows = [h % np.uint64(ROWS) for h in (mixed(one), both, mixed(two + np.uint64(1)))]
     return np.stack(rows, axis=1).astype(np.int32) + np.arange(KINDS, dtype=np.int32) * ROWS
@@ -226,25 +247,10 @@ def train(docs: DataFrame, words: Vocabulary, rounds: int = ROUNDS) -> Model:
 
         def local(source: Iterator[pa.RecordBatch], model=model) -> Iterator[pa.RecordBatch]:
             before = model.squares.copy()
-            rows, classes, waiting = [], [], 0
-
-            def step() -> None:
-                r, c = np.concatenate(rows), np.concatenate(classes)
+            for found, starts in joined(raw.as_py() for batch in source for raw in batch.column("raw")):
+                r, c = features(found, starts), words.look_up(found)[1]
                 for i in range(0, len(c), STEP):
                     model.learn(r[i : i + STEP], c[i : i + STEP])
-                rows.clear(), classes.clear()
-
-            for batch in source:
-                for raw in batch.column("raw"):
-                    found = tokens(raw.as_py())
-                    rows.append(features(found))
-                    classes.append(words.look_up(found)[1])
-                    waiting += len(found)
-                    if waiting >= STEP:
-                        step()
-                        waiting = 0
-            if rows:
-                step()
             gained = model.squares - before
             for block in range(0, ROWS * KINDS, BLOCK):
                 cut = slice(block, block + BLOCK)
@@ -294,19 +300,21 @@ def scored(docs: DataFrame, counts: DataFrame, words: Vocabulary, model: Model)
     def score(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
             out = {"n_tokens": [], "n_known": [], "logs": [], "classes": [], "rare": []}
-            for raw in batch.column("raw"):
-                found = tokens(raw.as_py())
+            for found, starts in joined(raw.as_py() for raw in batch.column("raw")):
                 count, classes = words.look_up(found)
-                rows, by_class = features(found), 0.0
+                rows, by_class = features(found, starts), np.empty(len(found))
                 for i in range(0, len(found), CHUNK):
                     c = classes[i : i + CHUNK]
-                    p = model.log_class(rows[i : i + CHUNK], c)
-                    by_class += float(p.sum(dtype=np.float64) - words.log_mass[c].sum())
-                out["n_tokens"].append(len(found))
-                out["n_known"].append(int((count > 0).sum()))
-                out["logs"].append(float(np.log10(count[count > 0] + ADDED).sum()))
-                out["classes"].append(by_class / np.log(10))
-                out["rare"].append(np.sort(found[count == 0]).view(np.int64))
+                    by_class[i : i + CHUNK] = model.log_class(rows[i : i + CHUNK], c)
+                by_class -= words.log_mass[classes]
+                known = count > 0
+                logs = np.where(known, np.log10(count + ADDED), 0.0)
+                out["n_tokens"] += np.diff(starts, append=len(found)).tolist()
+                out["n_known"] += np.add.reduceat(known, starts, dtype=np.int64).tolist()
+                out["logs"] += np.add.reduceat(logs, starts).tolist()
+                out["classes"] += (np.add.reduceat(by_class, starts) / np.log(10)).tolist()
+                for text, here in zip(np.split(found, starts[1:]), np.split(known, starts[1:])):
+                    out["rare"].append(np.sort(text[~here]).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),

@@ -56,6 +56,27 @@ def test_class_shares_and_words_sum_to_one():
     assert np.allclose(np.exp(model.log_classes(rows)).sum(axis=1), 1, atol=1e-4)
 
 
+def test_texts_together_have_the_features_of_each_alone():
+    texts = [b"a b c d", b"", None, b"one", b"a b", b"x " * 5_000, b"tail of it"]
+    alone = np.concatenate([maxent.features(maxent.tokens(t)) for t in texts])
+    for least in (1, 7, 6_000, 1_000_000):
+        parts = list(maxent.joined(iter(texts), least))
+        assert np.array_equal(np.concatenate([maxent.features(*part) for part in parts]), alone)
+        assert sum(len(starts) for _, starts in parts) == len(texts)
+    assert list(maxent.joined(iter([]))) == []
+
+
+def test_a_score_does_not_hang_on_the_texts_beside(spark):
+    rows = [(i, f"w{i % 5} v{i % 3} " * (1 + i % 40), 0) for i in range(300)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    counts = maxent.word_counts(docs).checkpoint()
+    words = maxent.vocabulary(counts)
+    model = maxent.train(docs, words, 1)
+    every = {r.doc_id: r for r in maxent.scored(docs, counts, words, model).collect()}
+    one = maxent.scored(docs.where("doc_id = 77"), counts, words, model).first()
+    assert one.n_tokens == every[77].n_tokens and abs(one.score - every[77].score) < 1e-3
+
+
 def test_context_lowers_the_loss_on_held_out_rows(spark):
     random = np.random.default_rng(0)
     rows = []

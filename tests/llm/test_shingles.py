@@ -3,7 +3,6 @@ import random
 import pytest
 
 import brute
-import corpus_pipeline
 from sensorloom.llm import shingles
 from sensorloom.llm.common import table
 
@@ -32,7 +31,7 @@ def edited(words, edits, draw):
 
 def test_stage_against_brute_force_on_a_table(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    got = sorted(r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, sf_dir).collect())
+    got = sorted(r.doc_id for r in shingles.representatives(docs).collect())
     assert got == kept([(r.doc_id, r.text) for r in docs.collect()])
 
 
@@ -50,7 +49,7 @@ def test_stage_against_brute_force_on_edited_copies(spark, sf_dir, monkeypatch,
     texts += [edited(base, 1 + i % 3, draw) for i in range(60)]
     rows = list(zip(draw.sample(range(10**6), len(texts)), texts))
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    got = sorted(r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, sf_dir).collect())
+    got = sorted(r.doc_id for r in shingles.representatives(docs).collect())
     assert got == kept(rows)
 
 
@@ -58,6 +57,6 @@ def test_rows_of_one_id_compete_inside_their_component_only(spark, sf_dir):
     a, b = " ".join(f"a{i}" for i in range(20)), " ".join(f"b{i}" for i in range(20))
     rows = [(1, a, 0), (2, a, 1), (2, b, 2), (2, b, 2), (3, b, 3), (None, a, 4), (None, None, 5)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n int")
-    got = corpus_pipeline.drop_near_duplicates(spark, docs, sf_dir).collect()
+    got = shingles.representatives(docs).collect()
     assert sorted(r.n for r in got) == [0, 2, 4, 5]
-    assert corpus_pipeline.drop_near_duplicates(spark, docs.limit(0), sf_dir).collect() == []
+    assert shingles.representatives(docs.limit(0)).collect() == []
